@@ -13,10 +13,18 @@ NA_TOKENS = (
 )
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d{1,19}\s*$"
-TIME_FORMATS = (
-    "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
-    "d-MMM-yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d",
-)
+# Each shape of text has one format, so that no value is tried against all of them.
+TIME_FORMATS = {
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$": "M/d/yyyy h:mm:ss a",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$": "M/d/yyyy H:mm:ss",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$": "M/d/yyyy H:mm",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{1,2}-[A-Za-z]{3}-\d{4}$": "d-MMM-yyyy",
+    r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$": "yyyy/M/d H:mm:ss",
+    r"^\d{4}/\d{1,2}/\d{1,2}$": "yyyy/M/d",
+    r"^\d{8}$": "yyyyMMdd",
+}
+ISO_TIME = r"^\s*\d{4}(-\d|\s*$)"
 # A nanosecond clock spans these years; other dates are read as missing.
 FIRST_YEAR, LAST_YEAR = 1678, 2261
 TINY_P = 1e-300
@@ -73,10 +81,13 @@ def to_time(c: Column, dtype: T.DataType) -> Column:
         return c
     if not is_text(dtype):
         return c.cast("timestamp_ntz") if is_time(dtype) else F.lit(None).cast("timestamp_ntz")
-    parsed = F.coalesce(
-        c.try_cast("timestamp_ntz"),
-        *[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in TIME_FORMATS],
-    )
+    parsed = F.when(c.rlike(ISO_TIME), c.try_cast("timestamp_ntz"))
+    for shape, pattern in TIME_FORMATS.items():
+        # month and half-day names are read in capitals where the pattern has them
+        text = F.upper(c) if pattern.endswith("a") else c
+        parsed = parsed.when(
+            c.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        )
     return F.when(F.year(parsed).between(FIRST_YEAR, LAST_YEAR), parsed)
 
 

@@ -97,51 +97,67 @@ def correlation_columns(
     return sorted(spread, key=lambda c: (-spread[c], c))[:k]
 
 
-def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(i, j, x, y, n, r) for all column pairs i < j, Pearson over complete pairs.
+def pair_correlations(
+    df: DataFrame, columns: Sequence[str], target: str | None = None
+) -> DataFrame:
+    """(i, j, x, y, n, r) for column pairs i < j, Pearson over complete pairs.
 
-    All pairs come from one aggregation of moments. A constant column gives a
-    null, not an error.
+    With a ``target`` only its pairs are computed. One pass finds counts and
+    means, the next sums the products of the distances from the means: plain
+    sums, which Spark compiles, where a covariance aggregate per pair is not. A
+    constant column gives a null, not an error.
     """
     columns = list(columns)
-    numbers = {c: _number(df, c) for c in columns}
-    pairs = list(combinations(range(len(columns)), 2))
-    gaps = df.agg(
-        F.count("*").alias("rows"), *[F.count(x).alias(f"n{i}") for i, x in enumerate(numbers.values())]
+    numbers = [_number(df, c) for c in columns]
+    pairs = [
+        (i, j) for i, j in combinations(range(len(columns)), 2)
+        if target is None or target in (columns[i], columns[j])
+    ]
+    seen = df.agg(
+        F.count("*").alias("rows"),
+        *[agg.alias(f"{n}{i}") for i, x in enumerate(numbers)
+          for n, agg in (("n", F.count(x)), ("m", F.avg(x)), ("lo", F.min(x)), ("hi", F.max(x)))],
     ).first()
-    full = [gaps[f"n{i}"] == gaps["rows"] for i in range(len(columns))]
-    if len(columns) > PAIRWISE_COLUMNS and all(full) and gaps["rows"] > 1:
-        return _matrix_correlations(df, columns, numbers, gaps["rows"])
-    xs = list(numbers.values())
-    aggs = [F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(xs)]
-    for i, j in pairs:
-        x, y = xs[i], xs[j]
-        aggs.append(F.covar_samp(x, y).alias(f"c{i}_{j}"))
-        if not (full[i] and full[j]):
-            both = x.isNotNull() & y.isNotNull()
-            aggs += [
-                F.count_if(both).alias(f"n{i}_{j}"),
-                F.stddev_samp(F.when(both, x)).alias(f"x{i}_{j}"),
-                F.stddev_samp(F.when(both, y)).alias(f"y{i}_{j}"),
-            ]
+    full = [seen[f"n{i}"] == seen["rows"] for i in range(len(columns))]
+    if target is None and len(columns) > PAIRWISE_COLUMNS and all(full) and seen["rows"] > 1:
+        return _matrix_correlations(df, columns, numbers, seen["rows"])
+    varies = [seen[f"n{i}"] > 1 and seen[f"lo{i}"] < seen[f"hi{i}"] for i in range(len(columns))]
+    off = [x - F.lit(seen[f"m{i}"]) for i, x in enumerate(numbers)]
+    aggs = [F.sum(off[i] * off[i]).alias(f"s{i}") for i in range(len(columns)) if varies[i]]
     records = []
     for i, j in pairs:
+        n, r = F.lit(seen["rows"]), F.lit(None).cast("double")
         whole = full[i] and full[j]
-        sx = F.col(f"s{i}") if whole else F.col(f"x{i}_{j}")
-        sy = F.col(f"s{j}") if whole else F.col(f"y{i}_{j}")
-        n = F.lit(gaps["rows"]) if whole else F.col(f"n{i}_{j}")
-        r = F.try_divide(F.col(f"c{i}_{j}"), sx * sy)
+        both = numbers[i].isNotNull() & numbers[j].isNotNull()
+        if not whole:
+            aggs.append(F.count_if(both).alias(f"n{i}_{j}"))
+            n = F.col(f"n{i}_{j}")
+        if varies[i] and varies[j]:
+            aggs.append(F.sum(off[i] * off[j]).alias(f"p{i}_{j}"))
+            product, sx, sy = F.col(f"p{i}_{j}"), F.col(f"s{i}"), F.col(f"s{j}")
+            if not whole:
+                # the rows of this pair have means of their own
+                for name, k in (("x", i), ("y", j)):
+                    part = F.when(both, off[k])
+                    aggs += [F.sum(part).alias(f"{name}{i}_{j}"), F.sum(part * part).alias(f"{name * 2}{i}_{j}")]
+                dx, dy = F.col(f"x{i}_{j}"), F.col(f"y{i}_{j}")
+                product = product - F.try_divide(dx * dy, n)
+                sx = F.col(f"xx{i}_{j}") - F.try_divide(dx * dx, n)
+                sy = F.col(f"yy{i}_{j}") - F.try_divide(dy * dy, n)
+            r = F.try_divide(product, F.sqrt(sx) * F.sqrt(sy))
+            r = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
         records.append(F.struct(
             F.lit(i).alias("i"), F.lit(j).alias("j"),
             F.lit(columns[i]).alias("x"), F.lit(columns[j]).alias("y"),
-            n.cast("long").alias("n"), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)).alias("r"),
+            n.cast("long").alias("n"), r.alias("r"),
         ))
-    return df.agg(*aggs).select(F.inline(F.array(*records)))
+    sums = df.agg(*aggs) if aggs else df.agg(F.count("*"))
+    return sums.select(F.inline(F.array(*records)))
 
 
 def _matrix_correlations(df, columns, numbers, rows) -> DataFrame:
     """The same from one matrix of columns x columns, for wide tables."""
-    vectors = df.select(array_to_vector(F.array(*numbers.values())).alias("v"))
+    vectors = df.select(array_to_vector(F.array(*numbers)).alias("v"))
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     found = []
     for i, j in combinations(range(len(columns)), 2):

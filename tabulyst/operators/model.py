@@ -49,12 +49,20 @@ class ModelMatrix:
     dropped_datetime: list[str] = field(default_factory=list)
 
 
-def model_matrix(df: DataFrame, target: str, max_levels: int = MAX_LEVELS) -> ModelMatrix:
-    features = [f for f in df.schema if f.name != target]
-    texts = [
-        f.name for f in features if S.is_text(f.dataType) or isinstance(f.dataType, T.BooleanType)
+def _texts(df: DataFrame, target: str) -> list[str]:
+    return [
+        f.name for f in df.schema
+        if f.name != target and (S.is_text(f.dataType) or isinstance(f.dataType, T.BooleanType))
     ]
-    levels = distinct_up_to(df, texts, max_levels)
+
+
+def model_matrix(
+    df: DataFrame, target: str, max_levels: int = MAX_LEVELS, levels: dict | None = None
+) -> ModelMatrix:
+    """Choose the features; ``levels`` takes distinct counts that are known already."""
+    features = [f for f in df.schema if f.name != target]
+    texts = _texts(df, target)
+    levels = distinct_up_to(df, texts, max_levels) if levels is None else levels
     return ModelMatrix(
         [f.name for f in features if S.is_numeric(f.dataType)],
         [c for c in texts if levels[c] is not None],
@@ -163,14 +171,20 @@ def fit_baseline(
 
 
 def _fit(df: DataFrame, target: str, cfg: AnalysisConfig) -> Fitted:
-    m = model_matrix(df, target)
+    # the bound on the target is the larger one: it decides the task and the strata
+    numeric_target = S.is_numeric(df.schema[target].dataType)
+    texts = _texts(df, target)
+    bounds = dict.fromkeys(texts, MAX_LEVELS)
+    bounds[target] = R.CLASS_LIMIT if numeric_target else MAX_CLASSES
+    levels = distinct_up_to(df, [*texts, target], bounds)
+    m = model_matrix(df, target, levels=levels)
     if not (m.numeric or m.categorical):
         raise ValueError("no usable features")
-    task = R.task_type(df, target)
-    regression = task == "regression"
+    classes = levels[target]
+    regression = numeric_target and classes is None
+    task = "regression" if regression else "classification"
     y = S.to_number(col(target), df.schema[target].dataType) if regression else S.label(col(target))
     data = df.withColumn("y", y).where(F.col("y").isNotNull())
-    classes = None if regression else distinct_up_to(data, ["y"], MAX_CLASSES)["y"]
     if not regression and classes is None:
         raise ValueError(f"more than {MAX_CLASSES} classes in {target}")
     stratify = "y" if classes is not None and classes <= MAX_STRATA else None

@@ -64,28 +64,19 @@ def top_variance(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(position, name, n, mean, std, min, p25, median, p75, max)."""
-    columns = list(columns)
+    """(position, name, n, mean, std, min, p25, median, p75, max).
+
+    The moments ride on the first quantile pass, so the table is read twice in all.
+    """
     numbers = {c: S.to_number(col(c), df.schema[c].dataType) for c in columns}
-    moments = df.agg(
-        *[
-            agg.alias(f"{prefix}{i}")
-            for i, x in enumerate(numbers.values())
-            for prefix, agg in (
-                ("n", F.count(x)), ("mean", F.avg(x)), ("std", F.stddev_samp(x)),
-                ("min", F.min(x)), ("max", F.max(x)),
-            )
-        ]
-    )
-    quantiles = exact_quantiles(df, numbers, list(QUARTILES.values()))
-    known = moments.withColumns(
-        {
-            f"{field}{i}": F.lit(quantiles.get(c, p)).cast("double")
-            for i, c in enumerate(columns)
-            for field, p in QUARTILES.items()
-        }
-    )
-    return by_column(known, columns, {f: f for f in ("n", *SUMMARY_FIELDS)})
+    found = exact_quantiles(df, numbers, list(QUARTILES.values()), moments=True)
+    rows = []
+    for i, c in enumerate(numbers):
+        m = found.moments[((), c)]
+        quarters = [found.get(c, p) for p in QUARTILES.values()]
+        rows.append((i, c, m["n"], m["mean"], m["std"], m["min"], *quarters, m["max"]))
+    schema = "position int, name string, n long, " + ", ".join(f"{f} double" for f in SUMMARY_FIELDS)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _slot(c: str, dtype: T.DataType, digest: bool) -> dict[str, Column]:
@@ -110,20 +101,12 @@ def value_counts(df: DataFrame, columns: Sequence[str], digests: Sequence[str] =
     so a column or value with most of the rows merges before it travels and no
     task receives a whole column.
     """
-    records = []
+    cells = []
     for i, c in enumerate(columns):
         own = _slot(c, df.schema[c].dataType, c in set(digests))
-        records.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                *[own.get(s, F.lit(None).cast(t)).alias(s) for s, t in _SLOTS.items()],
-            )
-        )
-    return (
-        df.select(F.inline(F.array(*records)))
-        .groupBy("position", *_SLOTS)
-        .agg(F.count("*").alias("count"))
-    )
+        cells += [F.lit(i), *[own.get(s, F.lit(None).cast(t)) for s, t in _SLOTS.items()]]
+    long = df.select(F.stack(F.lit(len(columns)), *cells).alias("position", *_SLOTS))
+    return long.groupBy("position", *_SLOTS).agg(F.count("*").alias("count"))
 
 
 def _absent() -> Column:

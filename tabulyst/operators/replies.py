@@ -11,10 +11,11 @@ ARRAY_START = r"^\s*\["
 FENCED_OBJECT = r"(?is)```json\s*(\{.*?\})\s*```"
 OUTER_BRACES = r"(\{[\s\S]*\})"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
-OUTER_SPACE = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
-LIST_MARK = "^[-*•]+"
-LIST_NUMBER = "^[0-9]+"
-LIST_POINT = "^[.、)]+"
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+OUTER_SPACE = f"^{SPACE}+|{SPACE}+$"
+# a list mark, then a number, then its point
+LINE_HEAD = f"^{SPACE}*[-*•]*{SPACE}*[0-9]*[.、)]*{SPACE}*"
+LINE_EDGES = f"{LINE_HEAD}|{SPACE}+$"
 POINT_FIELDS = ("insights", "bullets", "points")
 MAX_POINTS = 6
 DEFAULT_ANALYSES = ("payment_summary", "company_summary", "time_patterns")
@@ -24,16 +25,17 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, OUTER_SPACE, "")
 
 
-def json_object(text: Column) -> Column:
-    """The first JSON object of a text as a variant, else null.
+def with_json_object(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds the first JSON object of a text as a variant, else null.
 
     The whole text is tried first, then a fenced block, then what lies between
     the outermost braces.
     """
-    whole = F.when(text.rlike(OBJECT_START), F.try_parse_json(text))
-    fenced = F.try_parse_json(F.regexp_extract(text, FENCED_OBJECT, 1))
-    braces = F.try_parse_json(F.regexp_extract(text, OUTER_BRACES, 1))
-    return F.coalesce(whole, fenced, braces)
+    t = F.col(text)
+    whole = F.when(t.rlike(OBJECT_START), F.try_parse_json(t))
+    fenced = F.try_parse_json(F.regexp_extract(t, FENCED_OBJECT, 1))
+    braces = F.try_parse_json(F.regexp_extract(t, OUTER_BRACES, 1))
+    return df.withColumn(out, F.coalesce(whole, fenced, braces))
 
 
 def _kind(v: Column) -> Column:
@@ -54,49 +56,57 @@ def truthy(v: Column, path: str) -> Column:
     )
 
 
-def plan_fields(text: Column, stop_default: bool = False) -> list[Column]:
-    """extra_analyses, stop and insights_md of a reply, with defaults."""
-    obj = json_object(text)
-    asked = F.try_variant_get(obj, "$.extra_analyses", "variant")
-    listed = F.try_variant_get(obj, "$.extra_analyses", "array<string>")
+def with_plan(df: DataFrame, text: str, stop_default: bool = False) -> DataFrame:
+    """Adds extra_analyses, stop and insights_md of a reply, with defaults."""
+    read = with_json_object(df, text, "__obj").withColumns({
+        "__asked": F.try_variant_get("__obj", "$.extra_analyses", "variant"),
+        "__stop": F.try_variant_get("__obj", "$.stop", "variant"),
+    })
+    listed = F.try_variant_get("__obj", "$.extra_analyses", "array<string>")
     default = F.array(*[F.lit(a) for a in DEFAULT_ANALYSES])
     none = F.array().cast("array<string>")
-    given_stop = F.try_variant_get(obj, "$.stop", "variant").isNotNull()
-    return [
-        F.when(asked.isNull(), default).otherwise(F.coalesce(listed, none)).alias("extra_analyses"),
-        F.when(given_stop, truthy(obj, "$.stop")).otherwise(F.lit(stop_default)).alias("stop"),
-        F.coalesce(F.try_variant_get(obj, "$.llm_insights_md", "string"), F.lit("")).alias("insights_md"),
-    ]
+    return read.withColumns({
+        "extra_analyses": F.when(F.col("__asked").isNull(), default).otherwise(F.coalesce(listed, none)),
+        "stop": F.when(F.col("__stop").isNotNull(), truthy(F.col("__obj"), "$.stop"))
+        .otherwise(F.lit(stop_default)),
+        "insights_md": F.coalesce(F.try_variant_get("__obj", "$.llm_insights_md", "string"), F.lit("")),
+    }).drop("__obj", "__asked", "__stop")
 
 
 def _filled(items: Column) -> Column:
     return F.filter(F.transform(items, strip), lambda x: F.length(x) > 0)
 
 
-def text_points(text: Column, most: int = MAX_POINTS) -> Column:
+def _line_points(text: Column) -> Column:
     """Lines of a text without list marks and numbers, repeats left out."""
-    def bare(line: Column) -> Column:
-        unmarked = strip(F.regexp_replace(strip(line), LIST_MARK, ""))
-        return strip(F.regexp_replace(F.regexp_replace(unmarked, LIST_NUMBER, ""), LIST_POINT, ""))
+    lines = F.transform(F.split(text, LINE_BREAK), lambda x: F.regexp_replace(x, LINE_EDGES, ""))
+    return F.array_distinct(F.filter(lines, lambda x: F.length(x) > 0))
 
-    lines = F.transform(F.split(text, LINE_BREAK), bare)
-    return F.slice(F.array_distinct(F.filter(lines, lambda x: F.length(x) > 0)), 1, most)
 
+def with_points(df: DataFrame, text: str, out: str, most: int = MAX_POINTS) -> DataFrame:
+    """Adds a reply's points: a JSON array, an object's list, or else its lines.
 
-def points(text: Column, most: int = MAX_POINTS) -> Column:
-    """A reply's points: a JSON array, an object's list, or else its lines."""
-    trimmed = strip(F.coalesce(text, F.lit("")))
-    bracketed = trimmed.rlike(ARRAY_START) | trimmed.rlike(OBJECT_START)
-    parsed = F.when(bracketed, F.try_parse_json(trimmed))
-    array = F.when(trimmed.rlike(ARRAY_START), F.try_variant_get(parsed, "$", "array<string>"))
+    Each step is a column of its own, so that a text is parsed once however many
+    fields are looked up in it.
+    """
+    is_array, is_object = F.col("__text").rlike(ARRAY_START), F.col("__text").rlike(OBJECT_START)
     in_object = F.lit(None).cast("array<string>")
     for name in reversed(POINT_FIELDS):
         path = f"$.{name}"
         in_object = F.when(
-            truthy(parsed, path), F.try_variant_get(parsed, path, "array<string>")
+            truthy(F.col("__json"), path), F.try_variant_get("__json", path, "array<string>")
         ).otherwise(in_object)
-    listed = F.coalesce(array, F.when(trimmed.rlike(OBJECT_START), in_object))
-    return F.coalesce(F.slice(_filled(listed), 1, most), text_points(trimmed, most))
+    steps = {
+        "__text": strip(F.coalesce(F.col(text), F.lit(""))),
+        "__json": F.when(is_array | is_object, F.try_parse_json("__text")),
+        "__listed": F.when(is_array, F.try_variant_get("__json", "$", "array<string>"))
+        .when(is_object, in_object),
+        "__points": F.when(F.col("__listed").isNull(), _line_points(F.col("__text")))
+        .otherwise(_filled(F.col("__listed"))),
+    }
+    for name, step in steps.items():
+        df = df.withColumn(name, step)
+    return df.withColumn(out, F.slice("__points", 1, most)).drop(*steps)
 
 
 def merge_points(first: Column, second: Column) -> Column:

@@ -30,6 +30,8 @@ HLL_ERROR = 0.03
 # one literal that folds to an array; a thousand literals would slow the planner
 _GRID_POINTS = ",".join(str(i / GRID) for i in range(GRID + 1))
 
+_MOMENTS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+
 
 @dataclass
 class _Bracket:
@@ -48,10 +50,10 @@ class _Bracket:
 
 @dataclass
 class Quantiles:
-    """Quantiles by (group key tuple, column, probability), with row counts."""
+    """Quantiles by (group key tuple, column, probability), moments by (key, column)."""
 
     values: dict[tuple, float | None] = field(default_factory=dict)
-    counts: dict[tuple, int] = field(default_factory=dict)
+    moments: dict[tuple, dict] = field(default_factory=dict)
 
     def get(self, column: str, prob: float, key: tuple = ()) -> float | None:
         return self.values.get((key, column, prob))
@@ -80,6 +82,7 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     ordered_rows: int = ORDERED_ROWS,
     slack: int = 3,
+    moments: bool = False,
 ) -> Quantiles:
     """Linearly interpolated quantiles of numeric expressions, per group.
 
@@ -102,6 +105,7 @@ def exact_quantiles(
         .agg(
             *[F.count(v).alias(f"n_{v}") for v in named],
             *[_sketch(F.col(v)).alias(f"g_{v}") for v in named],
+            *[fn(v).alias(f"{m}_{v}") for m, fn in (_MOMENTS if moments else {}).items() for v in named],
         )
         .take(MAX_GROUPS + 1)
     )
@@ -111,7 +115,9 @@ def exact_quantiles(
         key = tuple(row[k] for k in key_cols)
         for v, name in named.items():
             n = row[f"n_{v}"]
-            found.counts[(key, name)] = n
+            found.moments[(key, name)] = {"n": n} | {
+                m: row[f"{m}_{v}"] for m in (_MOMENTS if moments else {})
+            }
             for prob in probs:
                 if n == 0:
                     found.values[(key, name, prob)] = None
@@ -252,7 +258,9 @@ def _order(base, key_cols, ids) -> list[tuple]:
     return failed
 
 
-def distinct_up_to(df: DataFrame, columns: Sequence[str], bound: int) -> dict[str, int | None]:
+def distinct_up_to(
+    df: DataFrame, columns: Sequence[str], bound: int | Mapping[str, int]
+) -> dict[str, int | None]:
     """Exact distinct counts of columns with at most ``bound`` values, else None.
 
     A sketch settles columns far above the bound; only the rest, whose values
@@ -261,14 +269,15 @@ def distinct_up_to(df: DataFrame, columns: Sequence[str], bound: int) -> dict[st
     columns = list(columns)
     if not columns:
         return {}
+    bounds = bound if isinstance(bound, Mapping) else dict.fromkeys(columns, bound)
     guess = df.agg(
         *[F.approx_count_distinct(col(c), HLL_ERROR).alias(f"d{i}") for i, c in enumerate(columns)]
     ).first()
-    near = [c for i, c in enumerate(columns) if guess[f"d{i}"] <= 2 * bound + 10]
+    near = [c for i, c in enumerate(columns) if guess[f"d{i}"] <= 2 * bounds[c] + 10]
     out: dict[str, int | None] = dict.fromkeys(columns)
     if near:
         exact = df.agg(
             *[F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(near)]
         ).first()
-        out.update({c: exact[f"d{i}"] for i, c in enumerate(near) if exact[f"d{i}"] <= bound})
+        out.update({c: exact[f"d{i}"] for i, c in enumerate(near) if exact[f"d{i}"] <= bounds[c]})
     return out

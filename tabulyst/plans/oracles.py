@@ -365,7 +365,7 @@ def oracle_queries() -> dict[str, str]:
           union all select 'hour', count(distinct hour(trip_start_timestamp)), count(*) from trips
           union all select 'dow', count(distinct isodow(trip_start_timestamp)), count(*) from trips""",
         "sizeable_groups": """select o_custkey as key, count(*) as size, count(o_totalprice) as n,
-          printf('%.8e', avg(o_totalprice)) as mean, printf('%.8e', var_samp(o_totalprice)) as variance
+          round(avg(o_totalprice),7) as mean, printf('%.8e', var_samp(o_totalprice)) as variance
           from orders group by 1 having count(*) >= 5""",
         "column_roles": _column_roles(),
         "column_roles_text": _text_roles(),

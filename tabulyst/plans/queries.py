@@ -108,7 +108,8 @@ def requested_summaries(spark, folder):
 @query
 def sizeable_groups(spark, folder):
     found = sm.sizeable_groups(table(spark, folder, "orders"), "o_custkey", "o_totalprice")
-    return found.withColumns({c: _significant(F.col(c), 9) for c in ("mean", "variance")})
+    return found.withColumns({
+        "mean": F.round("mean", 7), "variance": _significant(F.col("variance"), 9)})
 
 
 # ---- roles and names -------------------------------------------------------
@@ -366,8 +367,8 @@ def target_correlation(spark, folder):
     """Columns by the strength of their correlation with a target."""
     df = table(spark, folder, "lineitem")
     others = [c for c in LINEITEM_NUMBERS if c != "l_extendedprice"]
-    pairs = charts.pair_correlations(df, [*others, "l_extendedprice"])
-    near = pairs.where(F.col("y") == "l_extendedprice").select("x", F.abs("r").alias("abs_r"))
+    pairs = charts.pair_correlations(df, [*others, "l_extendedprice"], "l_extendedprice")
+    near = pairs.select("x", F.abs("r").alias("abs_r"))
     return rounded(near.orderBy(F.desc("abs_r"), "x").limit(30), 8)
 
 
@@ -625,33 +626,32 @@ def name_rules(spark, folder):
 
 @query
 def response_json(spark, folder):
-    df = plan_replies(spark, folder)
-    obj = replies.json_object(F.col("text"))
+    df = replies.with_json_object(plan_replies(spark, folder), "text", "obj")
     return df.select(
-        "event_id", obj.isNotNull().alias("found"),
-        F.try_variant_get(obj, "$.props.k", "bigint").alias("k"),
-        F.try_variant_get(obj, "$.extra_analyses[0]", "string").alias("first_analysis"),
+        "event_id", F.col("obj").isNotNull().alias("found"),
+        F.try_variant_get("obj", "$.props.k", "bigint").alias("k"),
+        F.try_variant_get("obj", "$.extra_analyses[0]", "string").alias("first_analysis"),
     )
 
 
 @query
 def plan_fields(spark, folder):
-    df = plan_replies(spark, folder)
-    fields = df.select("event_id", *replies.plan_fields(F.col("text")))
-    return fields.select("event_id", F.concat_ws("|", "extra_analyses").alias("extra_analyses"),
-                         "stop", "insights_md")
+    df = replies.with_plan(plan_replies(spark, folder), "text")
+    return df.select("event_id", F.concat_ws("|", "extra_analyses").alias("extra_analyses"),
+                     "stop", "insights_md")
 
 
 @query
 def response_bullets(spark, folder):
     df = reply_table(spark, folder)
-    return df.select("conv_id", "turn", F.concat_ws("|", replies.points(F.col("text"))).alias("points"))
+    read = replies.with_points(df, "text", "points")
+    return read.select("conv_id", "turn", F.concat_ws("|", "points").alias("points"))
 
 
 @query
 def merge_findings(spark, folder):
     """Each reply's points merged with those of the next turn."""
-    df = reply_table(spark, folder).select("conv_id", "turn", replies.points(F.col("text")).alias("points"))
+    df = replies.with_points(reply_table(spark, folder), "text", "points").drop("text")
     after = df.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("points").alias("later"))
     joined = df.join(after, ["conv_id", "turn"], "left")
     merged = replies.merge_points(F.col("points"), F.col("later"))
