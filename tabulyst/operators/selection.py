@@ -13,8 +13,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,7 +142,9 @@ def exact_quantiles(
             found.values[(key, named[v], prob)] = b.value
     if failed:
         # a sketch missed its error bound: start again with wider brackets
-        wider = exact_quantiles(df, columns, probs, keys, ordered_rows, min(slack * 8, GRID))
+        if slack >= GRID // 4:
+            raise RuntimeError(f"no exact quantile found for {failed}")
+        wider = exact_quantiles(df, columns, probs, keys, ordered_rows, min(slack * 8, GRID // 4))
         found.values.update(wider.values)
     return found
 
@@ -192,69 +196,69 @@ def _refine(base, key_cols, ids, slack, ordered_rows) -> None:
             b = ids.get((key, v, prob))
             if b is None or b.between <= ordered_rows:
                 continue
-            start = row[f"below{s}"] + row[f"at{s}"]
-            n = row[f"in{s}"]
+            n, start = row[f"in{s}"], row[f"below{s}"] + row[f"at{s}"]
             low_rank, high_rank = b.rank_low - start, b.rank_high - start
             if high_rank < 0:
                 b.high, b.between = b.low, 0.0
             elif low_rank >= n:
                 b.low, b.between = b.high, 0.0
-            elif n <= ordered_rows or low_rank < 0 or high_rank >= n:
-                # few rows left, or the two ranks sit on either side of an edge
-                if low_rank < 0:
-                    b.high = _narrow(row[f"g{s}"], 0, max(high_rank, 0), n, slack)[1]
-                elif high_rank >= n:
-                    b.low = _narrow(row[f"g{s}"], low_rank, n - 1, n, slack)[0]
-                b.between = float(ordered_rows if n <= ordered_rows else n * (slack + 3) / GRID)
+            elif n == 0:
+                # one rank at each end, nothing between
+                b.between = 0.0
             else:
-                b.low, b.high, b.between = _narrow(row[f"g{s}"], low_rank, high_rank, n, slack)
+                first, last = max(low_rank, 0), min(high_rank, n - 1)
+                low, high, b.between = _narrow(row[f"g{s}"], first, last, n, slack)
+                b.low = low if low_rank >= 0 else b.low
+                b.high = high if high_rank < n else b.high
 
 
 def _order(base, key_cols, ids) -> list[tuple]:
-    """Count rows below each bracket, order the values inside, pick the ranks."""
-    joined, slots, bound = _with_bounds(base, key_cols, ids, extra=("rank_low", "rank_high"))
-    items = []
+    """Count the rows outside the brackets, order the values inside, pick the ranks."""
+    joined, slots, bound = _with_bounds(base, key_cols, ids)
+    per_column: dict[str, list[int]] = {}
     for s, (v, _) in enumerate(slots):
-        x, low, high = F.col(v), bound(s, "low"), bound(s, "high")
-        items.append(
-            F.when(
-                x <= high,
-                F.struct(
-                    F.lit(s).alias("slot"),
-                    F.when(x >= low, x).alias("x"),
-                    bound(s, "rank_low").alias("rank_low"),
-                    bound(s, "rank_high").alias("rank_high"),
-                ),
-            )
-        )
-    # all rows below a bracket share one null value, so they merge before the shuffle
+        per_column.setdefault(v, []).append(s)
+    cells = []
+    for place, (v, own) in enumerate(per_column.items()):
+        x = F.col(v)
+        inside = reduce(or_, [x.between(bound(s, "low"), bound(s, "high")) for s in own])
+        # rows between two brackets all stand at the upper end of the lower one, after
+        # its values, and so merge into one row; rows above every bracket are not needed
+        ends = [F.when(bound(s, "high") < x, bound(s, "high")) for s in own]
+        below = F.greatest(F.lit(float("-inf")), *ends)
+        needed = reduce(or_, [x <= bound(s, "high") for s in own])
+        cells += [
+            F.when(needed, F.lit(place)),
+            F.when(inside, x).otherwise(below),
+            F.when(inside, F.lit(0)).otherwise(F.lit(1)),
+        ]
     counted = (
-        joined.select(*key_cols, F.explode(F.array(*items)).alias("item"))
-        .where(F.col("item").isNotNull())
-        .groupBy(*key_cols, "item.slot", "item.x", "item.rank_low", "item.rank_high")
+        joined.select(*key_cols, F.stack(F.lit(len(per_column)), *cells).alias("place", "x", "gap"))
+        .where(F.col("place").isNotNull())
+        .groupBy(*key_cols, "place", "x", "gap")
         .agg(F.count("*").alias("c"))
     )
-    upto = W.partitionBy(*key_cols, "slot").orderBy(F.col("x").asc_nulls_first())
+    upto = W.partitionBy(*key_cols, "place").orderBy("x", "gap")
     upto = upto.rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("end", F.sum("c").over(upto))
+    ranked = counted.withColumn("end", F.sum("c").over(upto)).where(F.col("gap") == 0)
+    ranked, _, bound = _with_bounds(ranked, key_cols, ids, ("rank_low", "rank_high"))
 
-    def at(rank: str) -> Column:
-        hit = (F.col(rank) < F.col("end")) & (F.col(rank) >= F.col("end") - F.col("c"))
-        return F.max(F.when(hit, F.col("x")))
+    def at(slot: int, rank: str) -> Column:
+        wanted = bound(slot, rank)
+        here = F.col("place") == list(per_column).index(slots[slot][0])
+        hit = here & (wanted < F.col("end")) & (wanted >= F.col("end") - F.col("c"))
+        return F.max(F.when(hit, F.col("x"))).alias(f"{rank}{slot}")
 
-    picked = ranked.groupBy(*key_cols, "slot").agg(
-        at("rank_low").alias("low"), at("rank_high").alias("high")
-    )
-    rows: dict[tuple, Row] = {
-        (tuple(r[k] for k in key_cols), *slots[r["slot"]]): r for r in picked.collect()
-    }
+    picks = [at(s, rank) for s in range(len(slots)) for rank in ("rank_low", "rank_high")]
+    rows = {tuple(r[k] for k in key_cols): r for r in ranked.groupBy(*key_cols).agg(*picks).collect()}
     failed = []
     for i, b in ids.items():
-        r = rows.get(i)
-        if r is None or r["low"] is None or r["high"] is None:
+        r, s = rows.get(i[0]), slots.index(i[1:])
+        low, high = (r[f"rank_low{s}"], r[f"rank_high{s}"]) if r else (None, None)
+        if low is None or high is None:
             failed.append(i)
-            continue
-        b.value = r["low"] + (r["high"] - r["low"]) * b.share
+        else:
+            b.value = low + (high - low) * b.share
     return failed
 
 

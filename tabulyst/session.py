@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -33,9 +34,12 @@ def staging_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tabulyst-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tabulyst-")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
