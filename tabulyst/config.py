@@ -23,3 +23,5 @@ class AnalysisConfig:
     corr_max_features: int = 12
     missing_drop_threshold: float = 0.95
     random_seed: int = 42
+    # a sketch instead of exact distinct counts, which shuffle every value
+    approximate_distinct: bool = False

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from tabulyst.session import stage
 # The label of a filled category and the words of the log.
 FILL_LABEL = "Missing"
 FILL_CATEGORY, FILL_MEDIAN = "missing_category", "median"
+COPIES = "__copies"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("dropped_duplicates", T.LongType()),
@@ -62,26 +63,31 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def counted_rows(df: DataFrame) -> DataFrame:
+    """The distinct rows, each with its number of copies in ``COPIES``."""
+    return df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias(COPIES))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    before = df.agg(F.count("*").alias("n_rows"))
-    after = drop_duplicates(df).agg(F.count("*").alias("n_distinct"))
-    tagged = before.select("n_rows", F.lit(None).cast("long").alias("n_distinct")).unionByName(
-        after.select(F.lit(None).cast("long").alias("n_rows"), "n_distinct"))
-    return tagged.agg(F.max("n_rows").alias("n_rows"), F.max("n_distinct").alias("n_distinct")) \
-        .withColumn("dropped_duplicates", F.col("n_rows") - F.col("n_distinct"))
+    """(n_rows, n_distinct, dropped_duplicates) from one scan and one shuffle."""
+    counted = counted_rows(df).agg(
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("n_rows"), F.count("*").alias("n_distinct")
+    )
+    return counted.withColumn("dropped_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
-def missing_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
-    """Rows, and missing values per column, in one aggregation."""
+def missing_counts(df: DataFrame, *more: Column) -> tuple[Row, dict[str, int]]:
+    """Missing values per column, and a row of ``rows`` and further aggregates."""
     row = df.agg(
-        F.count("*").alias("rows"),
+        F.count("*").alias("rows"), *more,
         *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
     ).first()
-    return row["rows"], {c: row["rows"] - row[f"n{i}"] for i, c in enumerate(df.columns)}
+    return row, {c: row["rows"] - row[f"n{i}"] for i, c in enumerate(df.columns)}
 
 
 def sparse_columns(df: DataFrame, threshold: float) -> list[str]:
-    rows, gaps = missing_counts(df)
+    seen, gaps = missing_counts(df)
+    rows = seen["rows"]
     return [c for c, n in gaps.items() if rows and n / rows >= threshold]
 
 
@@ -152,18 +158,21 @@ def clean(
     The de-duplicated table is written once (``staged``): it costs a shuffle of
     all rows and is scanned by the counts, the medians and all that follows.
     """
-    rows_before = df.agg(F.count("*").alias("n")).first()["n"]
-    unique = drop_duplicates(df)
+    # the copies are counted while they are dropped, so the raw table is read once
+    counted = counted_rows(df)
     if staged:
-        unique = stage(unique, "unique")
+        counted = stage(counted, "unique")
+    unique = counted.drop(COPIES)
     casts = conversions(unique, roles)
     cast = unique.withColumns({c: expr for c, (_, expr) in casts.items()}) if casts else unique
     # gaps before the casts decide which columns go, gaps after them what is filled
-    rows, gaps = missing_counts(
-        unique.select(*[col(c) for c in unique.columns],
-                      *[expr.alias(f"{c} as {kind}") for c, (kind, expr) in casts.items()])
+    seen, gaps = missing_counts(
+        counted.select(*[col(c) for c in counted.columns],
+                       *[expr.alias(f"{c} as {kind}") for c, (kind, expr) in casts.items()]),
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("before"),
     )
-    log = CleaningLog(dropped_duplicates=rows_before - rows)
+    rows = seen["rows"]
+    log = CleaningLog(dropped_duplicates=seen["before"] - rows)
     limit = cfg.missing_drop_threshold
     sparse = [c for c in unique.columns if rows and gaps[c] / rows >= limit]
     log.dropped_columns = [(c, f"missing_rate>={limit}") for c in sparse]

@@ -178,6 +178,16 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
+def _sketched_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    seen = df.agg(
+        F.count("*").alias("rows"),
+        *[agg.alias(f"{n}{i}") for i, c in enumerate(columns)
+          for n, agg in (("m", F.count_if(col(c).isNull())), ("d", F.approx_count_distinct(col(c), 0.01)))],
+    )
+    seen = seen.withColumns({f"rows{i}": F.col("rows") for i in range(len(columns))})
+    return by_column(seen, columns, {"n_rows": "rows", "n_missing": "m", "n_unique": "d"})
+
+
 def column_profile(
     df: DataFrame, roles: dict[str, str], cfg: AnalysisConfig = AnalysisConfig()
 ) -> DataFrame:
@@ -186,8 +196,10 @@ def column_profile(
     texts = [c for c in columns if roles.get(c) == R.TEXT and S.is_text(df.schema[c].dataType)]
     categories = [c for c in columns if roles.get(c) == R.CATEGORICAL]
     numbers = [c for c in columns if roles.get(c) == R.NUMERIC]
-    counts = value_counts(df, columns, texts)
-    base = distinct_from_counts(counts, columns)
+    if cfg.approximate_distinct:
+        base = _sketched_counts(df, columns)
+    else:
+        base = distinct_from_counts(value_counts(df, columns, texts), columns)
     dtypes = dict(df.dtypes)
     facts = F.element_at(
         F.array(*[

@@ -26,7 +26,7 @@ from tabulyst.functions.scalars import col
 GRID = 1000
 ACCURACY = 10000
 ORDERED_ROWS = 1_000_000
-MAX_GROUPS = 256
+MAX_GROUPS = 64
 HLL_ERROR = 0.03
 
 # one literal that folds to an array; a thousand literals would slow the planner

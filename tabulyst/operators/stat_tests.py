@@ -72,8 +72,12 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def groups_for_test(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Moments of at most ``ANOVA_LEVELS`` groups, numbered in key order."""
-    groups = sizeable_groups(df, category, value, LEAST_GROUP)
+    """Moments of the first groups in key order, numbered.
+
+    One group more than a test uses is enough to tell two groups from several,
+    so the windows see a few rows whatever the category holds.
+    """
+    groups = sizeable_groups(df, category, value, LEAST_GROUP).limit(ANOVA_GROUPS + 1)
     every = W.partitionBy(F.lit(1))
     return (
         groups.withColumn("place", F.row_number().over(every.orderBy("key")))

@@ -29,7 +29,7 @@ def staging_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own; on a cluster a
     machine-local folder would not be readable by the other executors.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
