@@ -23,6 +23,7 @@ from tabulyst.functions.scalars import col
 from tabulyst.functions.tails import f_upper, t_two_sided
 from tabulyst.operators import profile as P
 from tabulyst.operators.cleaning import FILL_LABEL
+from tabulyst.operators.model import sample_rows
 from tabulyst.operators.selection import distinct_up_to, exact_quantiles
 
 # Sizes and limits of the diagnostics.
@@ -149,8 +150,13 @@ def select_features(m: Moments, most: int = MAX_FEATURES, collinear: float = COL
     return m
 
 
-def diagnose(df: DataFrame, target: str) -> Diagnostics:
-    """Fit, coefficient table and VIF over all rows with a target value."""
+def diagnose(df: DataFrame, target: str, max_rows: int | None = None) -> Diagnostics:
+    """Fit, coefficient table and VIF over all rows with a target value.
+
+    ``max_rows`` asks for a random sample of the table instead.
+    """
+    if max_rows is not None:
+        df = sample_rows(df, max_rows)
     df = df.where(S.to_number(col(target), df.schema[target].dataType).isNotNull())
     design = design_columns(df, target)
     if not design:

@@ -107,6 +107,11 @@ def split_rows(
     return df.withColumn("is_test", h.cast("double") <= cut)
 
 
+def sample_rows(df: DataFrame, n: int, seed: int = AnalysisConfig.random_seed) -> DataFrame:
+    """n rows chosen by hash: the same rows whatever the partitions, n at most in one task."""
+    return df.withColumn("__hash", row_hash(df, seed)).orderBy("__hash").limit(n).drop("__hash")
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent value per column, the smallest of equals."""
     if not columns:
@@ -200,8 +205,10 @@ def _fit(df: DataFrame, target: str, cfg: AnalysisConfig) -> Fitted:
         stages.append(LinearRegression(labelCol="y", solver="auto"))
         name = "LinearRegression"
     else:
-        stages.insert(0, StringIndexer(inputCol="y", outputCol="label", handleInvalid="keep",
-                                       stringOrderType="alphabetAsc"))
+        indexer = StringIndexer(inputCol="y", outputCol="label", stringOrderType="alphabetAsc").fit(train)
+        train = indexer.transform(train)
+        # classes that only the test rows have are wrong whatever is predicted
+        test = indexer.copy().setHandleInvalid("keep").transform(test)
         # the penalty of unit strength on a sum of losses, per row
         stages.append(LogisticRegression(maxIter=LOGISTIC_ITERATIONS, regParam=1.0 / max(n_train, 1),
                                          standardization=False))

@@ -175,7 +175,12 @@ def top_values(
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
+    """(n_rows, n_cols, memory_mb) from one aggregation."""
+    used = [F.coalesce(F.sum(_bytes(col(f.name), f.dataType)), F.lit(0)) for f in df.schema]
+    return df.agg(
+        F.count("*").alias("n_rows"),
+        (sum(used, F.lit(0)) / F.lit(1024.0 * 1024.0)).alias("memory_mb"),
+    ).select("n_rows", F.lit(len(df.columns)).alias("n_cols"), "memory_mb")
 
 
 def _sketched_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -273,6 +278,3 @@ def _width(dtype: T.DataType) -> int | None:
     }
     return widths.get(type(dtype))
 
-
-def memory_mb(df: DataFrame) -> DataFrame:
-    return footprint(df).agg((F.sum("bytes") / F.lit(1024.0 * 1024.0)).alias("memory_mb"))

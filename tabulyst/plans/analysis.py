@@ -17,7 +17,7 @@ from tabulyst.operators import replies
 from tabulyst.operators import roles as R
 from tabulyst.operators.summaries import SUMMARY_KINDS, summaries
 from tabulyst.session import stage
-from tabulyst.sources.readers import first_rows, read_csv, read_parquet
+from tabulyst.sources.readers import read_csv, read_parquet
 from tabulyst.sources.sinks import write_parts
 
 
@@ -62,7 +62,8 @@ def analyse(
     parts["dataset"] = profile.dataset_profile(raw).select(
         F.lit(run_id).alias("run_id"),
         F.lit(stamp.isoformat(timespec="seconds")).alias("generated_at"),
-        F.lit(name).alias("filename"), "n_rows", "n_cols", F.col("n_rows").alias("loaded_rows"),
+        F.lit(name).alias("filename"), "n_rows", "n_cols", "memory_mb",
+        F.col("n_rows").alias("loaded_rows"),
     )
     parts["footprint"] = profile.footprint(raw)
     parts["missing_chart"] = profile.top_missing(raw, cfg.topk_cols)
@@ -104,7 +105,7 @@ def run_analysis(
     cfg: AnalysisConfig = AnalysisConfig(), extras: Sequence[str] = SUMMARY_KINDS,
 ) -> Analysis:
     """Analyse the table at ``path`` and save the parts under ``output``."""
-    raw = first_rows(load(spark, path, cfg), None)
+    raw = load(spark, path, cfg)
     done = analyse(raw, path.rstrip("/").rsplit("/", 1)[-1], target, cfg, extras)
     done.save(f"{output.rstrip('/')}/{done.run_id}")
     return done

@@ -412,7 +412,20 @@ def oracle_queries() -> dict[str, str]:
           union all select 'lang', 'categorical', count(distinct lang), null, ({documents_top.format(c='lang')}) from documents
           union all select 'source', 'categorical', count(distinct source), null, ({documents_top.format(c='source')}) from documents
           union all select 'n_chars', 'numeric', count(distinct n_chars), round(avg(n_chars),6), null from documents""",
-        "dataset_profile": f"{WITH_TRIPS} select count(*) as n_rows, 13 as n_cols from trips",
+        "dataset_profile": f"""{WITH_TRIPS} select count(*) as n_rows, 13 as n_cols, round((
+            8e0*(count(trip_key)+count(trip_start_timestamp)+count(fare)+count(tips)+count(trip_total)+count(trip_miles)
+            +count(trip_seconds)+count(mostly_missing)+count(pickup_zone_code)) + 4e0*count(leg)
+            + sum(coalesce(strlen(payment_type),0)+coalesce(strlen(company),0)+strlen(miles_text)))/1048576e0, 6) as memory_mb from trips""",
+        "random_sample": f"""{WITH_TRIPS}, n as (select least(5000, count(*)) as n_rows from trips)
+            select n_rows, n_rows as n_distinct, n_rows-n_rows as dropped_duplicates from n""",
+        "analysis_digest": f"""{WITH_TRIPS}, rates as ({_unpivot(TRIP_COLUMNS, "{i} as position, '{c}' as name, round(avg(case when {c} is null then 1e0 else 0e0 end),4) as missing_rate")}),
+            tests as (select * from {LINE_CHI2}), {P_VALUES}
+            select 'dataset' as part, '{{"n_rows":' || (select count(*) from trips) || ',"n_cols":13}}' as json
+            union all select 'top_missing_cols', '[' || string_agg('{{"name":"' || name || '","missing_rate":' || cast(missing_rate as varchar) || '}}', ','
+              order by missing_rate desc, position) || ']' from (select * from rates order by missing_rate desc, position limit 8)
+            union all select 'tests', '[{{"test":"chi2","x":"' || x || '","y":"' || y || '","statistic":' || cast(round(statistic,4) as varchar)
+              || ',"p_value":' || cast(round(p_value,4) as varchar) || ',"p_value_fmt":"' || p_value_fmt || '"}}]' from results
+            union all select 'rule_insights', '[{{"message":"{FINDING_TEXTS["missing"]}"}}]' from (select * from rates order by missing_rate desc, position limit 1)""",
         "column_variances": _unpivot(LINE_NUMBERS, "{i} as position, '{c}' as name, printf('%.8e', var_samp({c})) as variance", "lineitem"),
         "top_variance": f"""select name, printf('%.8e', v) as variance from ({_unpivot(LINE_NUMBERS, "'{c}' as name, var_samp({c}) as v", "lineitem")})
           where v > 0 order by v desc, name limit 3""",

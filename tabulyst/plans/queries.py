@@ -208,7 +208,7 @@ def text_profile(spark, folder):
 
 @query
 def dataset_profile(spark, folder):
-    return profile.dataset_profile(trips(spark, folder))
+    return rounded(profile.dataset_profile(trips(spark, folder)))
 
 
 @query
@@ -463,6 +463,13 @@ def model_matrix(spark, folder):
     return model.matrix_frame(trips(spark, folder), "trip_seconds")
 
 
+@query
+def random_sample(spark, folder):
+    """A bounded random sample, as its size and its number of distinct rows."""
+    sample = model.sample_rows(trips(spark, folder), 5000)
+    return cleaning.duplicate_count(sample)
+
+
 @query
 def train_test_split(spark, folder):
     """Rows per class on each side of the stratified split."""
@@ -666,4 +673,4 @@ def analysis_digest(spark, folder):
     tests = st.chi2(lines, "l_returnflag", "l_linestatus").withColumns(
         {"statistic": F.round("statistic", 4), "p_value": F.round("p_value", 4)})
     found = fnd.findings(rates, cleaning.duplicate_count(df), tests)
-    return replies.digest(profile.dataset_profile(df), rates, tests, found)
+    return replies.digest(profile.dataset_profile(df).drop("memory_mb"), rates, tests, found)
