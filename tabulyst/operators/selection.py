@@ -13,8 +13,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -149,10 +147,10 @@ def exact_quantiles(
     return found
 
 
-def _with_bounds(base: DataFrame, key_cols: list[str], ids: Mapping[tuple, _Bracket], extra=()):
+def _with_bounds(base: DataFrame, key_cols: list[str], ids: Mapping[tuple, _Bracket]):
     """Attach each group's brackets; literals when there is only one group."""
     slots = list(dict.fromkeys((v, prob) for _, v, prob in ids))
-    names = ["low", "high", *extra]
+    names = ["low", "high"]
     if not key_cols:
         def bound(slot: int, which: str) -> Column:
             v, prob = slots[slot]
@@ -214,47 +212,46 @@ def _refine(base, key_cols, ids, slack, ordered_rows) -> None:
 
 def _order(base, key_cols, ids) -> list[tuple]:
     """Count the rows outside the brackets, order the values inside, pick the ranks."""
-    joined, slots, bound = _with_bounds(base, key_cols, ids)
-    per_column: dict[str, list[int]] = {}
-    for s, (v, _) in enumerate(slots):
-        per_column.setdefault(v, []).append(s)
-    cells = []
-    for place, (v, own) in enumerate(per_column.items()):
-        x = F.col(v)
-        inside = reduce(or_, [x.between(bound(s, "low"), bound(s, "high")) for s in own])
-        # rows between two brackets all stand at the upper end of the lower one, after
-        # its values, and so merge into one row; rows above every bracket are not needed
-        ends = [F.when(bound(s, "high") < x, bound(s, "high")) for s in own]
-        below = F.greatest(F.lit(float("-inf")), *ends)
-        needed = reduce(or_, [x <= bound(s, "high") for s in own])
-        cells += [
-            F.when(needed, F.lit(place)),
-            F.when(inside, x).otherwise(below),
-            F.when(inside, F.lit(0)).otherwise(F.lit(1)),
-        ]
+    columns = list(dict.fromkeys(v for _, v, _ in ids))
+    probs = sorted({prob for _, _, prob in ids})
+    side = F.broadcast(_bracket_table(base, key_cols, ids, columns, probs))
+    on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in key_cols]
+    on.append(F.col("place") == F.col("b_place"))
+
+    # long form first: what follows is the same small expression for any number of columns
+    cells = [cell for place, v in enumerate(columns) for cell in (F.lit(place), F.col(v))]
+    long = base.select(*key_cols, F.stack(F.lit(len(columns)), *cells).alias("place", "x"))
+    x = F.col("x")
+    band = F.when(x >= F.col(f"low{len(probs) - 1}"), F.struct(x.alias("x"), F.lit(0).alias("gap")))
+    for k in reversed(range(len(probs) - 1)):
+        # rows between two brackets all stand at the end of the lower one, after its
+        # values, and so merge into one row before the shuffle
+        end = F.col(f"high{k}")
+        band = band.when(x > end, F.struct(end.alias("x"), F.lit(1).alias("gap")))
+        band = band.when(x >= F.col(f"low{k}"), F.struct(x.alias("x"), F.lit(0).alias("gap")))
+    band = band.otherwise(F.struct(F.lit(float("-inf")).alias("x"), F.lit(1).alias("gap")))
     counted = (
-        joined.select(*key_cols, F.stack(F.lit(len(per_column)), *cells).alias("place", "x", "gap"))
-        .where(F.col("place").isNotNull())
-        .groupBy(*key_cols, "place", "x", "gap")
+        long.where(x.isNotNull()).join(side, on)
+        .where(x <= F.col(f"high{len(probs) - 1}"))
+        .select(*key_cols, "place", band.alias("band"))
+        .groupBy(*key_cols, "place", "band.x", "band.gap")
         .agg(F.count("*").alias("c"))
     )
     upto = W.partitionBy(*key_cols, "place").orderBy("x", "gap")
     upto = upto.rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("end", F.sum("c").over(upto)).where(F.col("gap") == 0)
-    ranked, _, bound = _with_bounds(ranked, key_cols, ids, ("rank_low", "rank_high"))
+    ranked = counted.withColumn("end", F.sum("c").over(upto)).where(F.col("gap") == 0).join(side, on)
 
-    def at(slot: int, rank: str) -> Column:
-        wanted = bound(slot, rank)
-        here = F.col("place") == list(per_column).index(slots[slot][0])
-        hit = here & (wanted < F.col("end")) & (wanted >= F.col("end") - F.col("c"))
-        return F.max(F.when(hit, F.col("x"))).alias(f"{rank}{slot}")
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("c")), x))
 
-    picks = [at(s, rank) for s in range(len(slots)) for rank in ("rank_low", "rank_high")]
-    rows = {tuple(r[k] for k in key_cols): r for r in ranked.groupBy(*key_cols).agg(*picks).collect()}
+    picked = ranked.groupBy(*key_cols, "place").agg(
+        *[at(F.col(f"{r}{k}")).alias(f"{r}{k}") for k in range(len(probs)) for r in ("first", "second")]
+    )
+    rows = {(tuple(r[k] for k in key_cols), columns[r["place"]]): r for r in picked.collect()}
     failed = []
     for i, b in ids.items():
-        r, s = rows.get(i[0]), slots.index(i[1:])
-        low, high = (r[f"rank_low{s}"], r[f"rank_high{s}"]) if r else (None, None)
+        r, k = rows.get(i[:2]), probs.index(i[2])
+        low, high = (r[f"first{k}"], r[f"second{k}"]) if r else (None, None)
         if low is None or high is None:
             failed.append(i)
         else:
@@ -262,6 +259,31 @@ def _order(base, key_cols, ids) -> list[tuple]:
     return failed
 
 
+def _bracket_table(base, key_cols, ids, columns, probs) -> DataFrame:
+    """Brackets and ranks per group and column, ends made to ascend with the quantile.
+
+    At most ``MAX_GROUPS`` rows per column, so it is safe to broadcast.
+    """
+    fields = [T.StructField(f"b_{k}", base.schema[k].dataType) for k in key_cols]
+    fields.append(T.StructField("b_place", T.IntegerType()))
+    for name, dtype in (("low", T.DoubleType()), ("high", T.DoubleType()),
+                        ("first", T.LongType()), ("second", T.LongType())):
+        fields += [T.StructField(f"{name}{k}", dtype) for k in range(len(probs))]
+    rows = []
+    for key, v in dict.fromkeys(i[:2] for i in ids):
+        own = [ids.get((key, v, p)) for p in probs]
+        known = [b for b in own if b is not None]
+        lows, highs = [], []
+        for k, b in enumerate(own):
+            before = [c for c in own[: k + 1] if c is not None] or known[:1]
+            after = [c for c in own[k:] if c is not None] or known[-1:]
+            lows.append(float(min(c.low for c in after)))
+            highs.append(float(max(c.high for c in before)))
+        ranks = [[None if b is None else getattr(b, r) for b in own] for r in ("rank_low", "rank_high")]
+        rows.append((*key, columns.index(v), *lows, *highs, *ranks[0], *ranks[1]))
+    return base.sparkSession.createDataFrame(rows, T.StructType(fields))
+
+
 def distinct_up_to(
     df: DataFrame, columns: Sequence[str], bound: int | Mapping[str, int]
 ) -> dict[str, int | None]:
