@@ -129,12 +129,10 @@ def exact_quantiles(
                     low_rank, high_rank, low, high, between, rank - low_rank
                 )
 
-    open_ids = dict(brackets)
-    while any(b.between > ordered_rows for b in open_ids.values()):
-        _refine(base, key_cols, open_ids, slack, ordered_rows)
-        open_ids = {i: b for i, b in open_ids.items() if b.value is None}
+    while any(b.between > ordered_rows for b in brackets.values()):
+        _refine(base, key_cols, brackets, slack, ordered_rows)
 
-    failed = _order(base, key_cols, open_ids) if open_ids else []
+    failed = _order(base, key_cols, brackets) if brackets else []
     for (key, v, prob), b in brackets.items():
         if b.value is not None:
             found.values[(key, named[v], prob)] = b.value
@@ -147,50 +145,35 @@ def exact_quantiles(
     return found
 
 
-def _with_bounds(base: DataFrame, key_cols: list[str], ids: Mapping[tuple, _Bracket]):
-    """Attach each group's brackets; literals when there is only one group."""
-    slots = list(dict.fromkeys((v, prob) for _, v, prob in ids))
-    names = ["low", "high"]
-    if not key_cols:
-        def bound(slot: int, which: str) -> Column:
-            v, prob = slots[slot]
-            return F.lit(float(getattr(ids[((), v, prob)], which)))
+def _long(base: DataFrame, key_cols: list[str], columns: list[str]) -> DataFrame:
+    """(keys, place, x): what follows is one small expression for any number of columns."""
+    cells = [cell for place, v in enumerate(columns) for cell in (F.lit(place), F.col(v))]
+    long = base.select(*key_cols, F.stack(F.lit(len(columns)), *cells).alias("place", "x"))
+    return long.where(F.col("x").isNotNull())
 
-        return base, slots, bound
 
-    fields = [base.schema[k] for k in key_cols]
-    fields += [T.StructField(f"{w}{s}", T.DoubleType()) for s in range(len(slots)) for w in names]
-    rows = []
-    for key in dict.fromkeys(k for k, _, _ in ids):
-        cells: list = list(key)
-        for v, prob in slots:
-            b = ids.get((key, v, prob))
-            cells += [None if b is None else float(getattr(b, w)) for w in names]
-        rows.append(tuple(cells))
-    # at most MAX_GROUPS rows, so this side is safe to broadcast
-    side = base.sparkSession.createDataFrame(rows, T.StructType(fields))
-    side = side.toDF(*[f"b_{c}" for c in side.columns])
+def _on(key_cols: list[str]) -> list[Column]:
     on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in key_cols]
-    joined = base.join(F.broadcast(side), on, "inner")
-    return joined, slots, lambda slot, which: F.col(f"b_{which}{slot}")
+    return [*on, F.col("place") == F.col("b_place")]
 
 
 def _refine(base, key_cols, ids, slack, ordered_rows) -> None:
     """Sketch only the rows inside each bracket and tighten it."""
-    joined, slots, bound = _with_bounds(base, key_cols, ids)
-    aggs = []
-    for s, (v, _) in enumerate(slots):
-        x, low, high = F.col(v), bound(s, "low"), bound(s, "high")
+    columns = list(dict.fromkeys(v for _, v, _ in ids))
+    probs = sorted({prob for _, _, prob in ids})
+    side = F.broadcast(_bracket_table(base, key_cols, ids, columns, probs, ascending=False))
+    x, aggs = F.col("x"), []
+    for k in range(len(probs)):
+        low, high = F.col(f"low{k}"), F.col(f"high{k}")
         inside = (x > low) & (x < high)
         aggs += [
-            F.count_if(x < low).alias(f"below{s}"),
-            F.count_if(x == low).alias(f"at{s}"),
-            F.count_if(inside).alias(f"in{s}"),
-            _sketch(F.when(inside, x)).alias(f"g{s}"),
+            F.count_if(x < low).alias(f"below{k}"), F.count_if(x == low).alias(f"at{k}"),
+            F.count_if(inside).alias(f"in{k}"), _sketch(F.when(inside, x)).alias(f"g{k}"),
         ]
-    for row in joined.groupBy(*key_cols).agg(*aggs).collect():
-        key = tuple(row[k] for k in key_cols)
-        for s, (v, prob) in enumerate(slots):
+    seen = _long(base, key_cols, columns).join(side, _on(key_cols)).groupBy(*key_cols, "place").agg(*aggs)
+    for row in seen.collect():
+        key, v = tuple(row[k] for k in key_cols), columns[row["place"]]
+        for s, prob in enumerate(probs):
             b = ids.get((key, v, prob))
             if b is None or b.between <= ordered_rows:
                 continue
@@ -215,12 +198,6 @@ def _order(base, key_cols, ids) -> list[tuple]:
     columns = list(dict.fromkeys(v for _, v, _ in ids))
     probs = sorted({prob for _, _, prob in ids})
     side = F.broadcast(_bracket_table(base, key_cols, ids, columns, probs))
-    on = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in key_cols]
-    on.append(F.col("place") == F.col("b_place"))
-
-    # long form first: what follows is the same small expression for any number of columns
-    cells = [cell for place, v in enumerate(columns) for cell in (F.lit(place), F.col(v))]
-    long = base.select(*key_cols, F.stack(F.lit(len(columns)), *cells).alias("place", "x"))
     x = F.col("x")
     band = F.when(x >= F.col(f"low{len(probs) - 1}"), F.struct(x.alias("x"), F.lit(0).alias("gap")))
     for k in reversed(range(len(probs) - 1)):
@@ -231,7 +208,7 @@ def _order(base, key_cols, ids) -> list[tuple]:
         band = band.when(x >= F.col(f"low{k}"), F.struct(x.alias("x"), F.lit(0).alias("gap")))
     band = band.otherwise(F.struct(F.lit(float("-inf")).alias("x"), F.lit(1).alias("gap")))
     counted = (
-        long.where(x.isNotNull()).join(side, on)
+        _long(base, key_cols, columns).join(side, _on(key_cols))
         .where(x <= F.col(f"high{len(probs) - 1}"))
         .select(*key_cols, "place", band.alias("band"))
         .groupBy(*key_cols, "place", "band.x", "band.gap")
@@ -239,7 +216,8 @@ def _order(base, key_cols, ids) -> list[tuple]:
     )
     upto = W.partitionBy(*key_cols, "place").orderBy("x", "gap")
     upto = upto.rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("end", F.sum("c").over(upto)).where(F.col("gap") == 0).join(side, on)
+    ranked = counted.withColumn("end", F.sum("c").over(upto)).where(F.col("gap") == 0)
+    ranked = ranked.join(side, _on(key_cols))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("c")), x))
@@ -259,10 +237,12 @@ def _order(base, key_cols, ids) -> list[tuple]:
     return failed
 
 
-def _bracket_table(base, key_cols, ids, columns, probs) -> DataFrame:
-    """Brackets and ranks per group and column, ends made to ascend with the quantile.
+def _bracket_table(base, key_cols, ids, columns, probs, ascending=True) -> DataFrame:
+    """Brackets and ranks per group and column, a missing one left null.
 
-    At most ``MAX_GROUPS`` rows per column, so it is safe to broadcast.
+    With ``ascending`` the ends are made to ascend with the quantile, so that a
+    value finds its place by comparing from the top. At most ``MAX_GROUPS`` rows
+    per column, so it is safe to broadcast.
     """
     fields = [T.StructField(f"b_{k}", base.schema[k].dataType) for k in key_cols]
     fields.append(T.StructField("b_place", T.IntegerType()))
@@ -275,6 +255,10 @@ def _bracket_table(base, key_cols, ids, columns, probs) -> DataFrame:
         known = [b for b in own if b is not None]
         lows, highs = [], []
         for k, b in enumerate(own):
+            if not ascending:
+                lows.append(None if b is None else float(b.low))
+                highs.append(None if b is None else float(b.high))
+                continue
             before = [c for c in own[: k + 1] if c is not None] or known[:1]
             after = [c for c in own[k:] if c is not None] or known[-1:]
             lows.append(float(min(c.low for c in after)))
