@@ -52,7 +52,7 @@ with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 d as (
   select page_id, cast(strlen(html) as bigint) as payload_bytes,
-    array_to_string(list_transform(range(32), i ->
+    array_to_string(list_transform(range(32), lambda i:
       substr({_LETTERS}, cast(((cast('0x' || substr(h, 1 + 10 * (i // 8), 10) as ubigint)
         >> cast(35 - 5 * (i % 8) as ubigint)) & 31) as bigint) + 1, 1)), '') as payload_digest
   from p),
@@ -65,13 +65,13 @@ from d join f using (payload_digest)
 
 OP10_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) as e
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e
   from embeddings
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
 s as (
   select q.vec_id as query_id, c.vec_id,
-    cast(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) as bigint) as score
+    cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
 r as (
   select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
