@@ -12,6 +12,7 @@ The fit takes a bounded sample of the rated documents; SAMPLE states the bound.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -163,16 +164,18 @@ def train(docs: DataFrame, rated: DataFrame, sample: int = SAMPLE) -> Model | No
 
     def extract(batches):
         for batch in batches:
-            row, bucket, value = features(batch.column("text"))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket.astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value))], ["grade", "buckets", "values"])
+            for a, b in _slices(batch.column("text")):
+                row, bucket, value = features(batch.column("text").slice(a, b - a))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b - a))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("grade").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket.astype(np.int32))),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value))], ["grade", "buckets", "values"])
 
     texts = docs.filter("text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # the sample's ids have a stated bound; the limit keeps repeated documents within it too
-    some = texts.join(F.broadcast(chosen), "doc_id").select("grade", "text").limit(sample)
-    got = some.mapInArrow(extract, "grade int, buckets array<int>, values array<float>").toArrow()
+    # the sample's ids have a stated bound; the limit keeps repeated documents within it too,
+    # after the features are taken where the texts are read
+    some = texts.join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    got = some.mapInArrow(extract, "grade int, buckets array<int>, values array<float>").limit(sample).toArrow()
     if not got.num_rows or len(set(got.column("grade").to_pylist())) < 2:
         return None
     count = got.column("buckets").combine_chunks()
@@ -181,15 +184,21 @@ def train(docs: DataFrame, rated: DataFrame, sample: int = SAMPLE) -> Model | No
     return fit(np.repeat(np.arange(len(size)), size), count.flatten().to_numpy().astype(np.int64), values, got.column("grade").to_numpy().astype(np.int64))
 
 
-def _tails(column: pa.Array, model: Model) -> np.ndarray:
-    """P(grade >= k) for k = 1 and up of each text, a bounded number of bytes at a time."""
-    n, a = len(column), 0
-    eta, size = np.zeros(n), utf8_of(column)[1]
-    while a < n:
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with a bounded number of bytes (or one row)."""
+    a, size = 0, utf8_of(column)[1]
+    while a < len(column):
         b = max(a + 1, int(np.searchsorted(size, size[a] + (1 << 19), "right")) - 1)
+        yield a, b
+        a = b
+
+
+def _tails(column: pa.Array, model: Model) -> np.ndarray:
+    """P(grade >= k) for k = 1 and up of each text."""
+    eta = np.zeros(len(column))
+    for a, b in _slices(column):
         row, bucket, value = features(column.slice(a, b - a))
         eta[a:b] = np.bincount(row, weights=value * model.weights[bucket], minlength=b - a)
-        a = b
     return _sigmoid(eta[:, None] + model.biases)
 
 
