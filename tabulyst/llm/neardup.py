@@ -1,11 +1,13 @@
 """Near-duplicate documents by banded MinHash, odd sketches and exact confirmation.
 
 1. One pass over the texts keeps, for each document, the size and a digest of its shingle
-   set, MinHash band keys and an odd sketch. Equal sets fall into one class at once, so
-   groups of copies cost one row each from here on.
+   set, MinHash band keys and two odd sketches, of its MinHash samples and of the whole set.
+   Equal sets fall into one class at once, so groups of copies cost one row each from here on.
 2. In each bucket of a band key the classes are paired with up to LEADERS of its smallest
-   ids, not with each other. The XOR population count of two odd sketches discards pairs
-   that are clearly less similar; the rest is confirmed on the full sets.
+   ids, not with each other. The XOR population counts of their odd sketches discard pairs
+   that are less similar; the rest is confirmed on the full sets. The samples' sketch tells
+   long texts apart. The whole set's one is sharp for short and middling texts: its count
+   never exceeds the number of shingles that only one side has.
 3. After joining the confirmed links into components, buckets which still hold several
    components pair the members outside their largest component with all others: sizes and
    sketches are compared inside the join, and what passes is confirmed as well. Only
@@ -33,7 +35,8 @@ LEADERS = 4
 MARGIN = 4.5
 
 _WORDS = BITS // 64
-_SKETCH = [f"s{i}" for i in range(_WORDS)]
+_SAMPLED, _WHOLE = [f"s{i}" for i in range(_WORDS)], [f"w{i}" for i in range(_WORDS)]
+_SKETCH = _SAMPLED + _WHOLE
 SIGNATURES = "doc_id long, n_shingles long, d0 long, d1 long, sketch array<long>, bands array<long>"
 
 
@@ -53,11 +56,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 value, counts = shingles.shingle_sets(hashes, row, b - a, size)
                 some = (counts > 0).astype(np.int64)
                 samples = shingles.min_hashes(value, counts, SAMPLES)
+                sketch = np.hstack([shingles.odd_sketches(samples, BITS), shingles.odd_sets(value, counts, BITS)])
                 digest = np.zeros((b - a, 2), np.int64)
                 digest[counts > 0] = shingles.digests(value, counts)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(counts, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
-                     _lists(shingles.odd_sketches(samples, BITS).ravel(), some * _WORDS),
+                     _lists(sketch.ravel(), some * len(_SKETCH)),
                      _lists(shingles.bands(samples, ROWS_EACH).ravel(), some * (SAMPLES // ROWS_EACH))],
                     ["doc_id", "n_shingles", "d0", "d1", "sketch", "bands"],
                 )
@@ -87,11 +91,25 @@ def largest_distance(threshold: float) -> int:
     return math.ceil(expected + MARGIN * math.sqrt(max(0.0, 2 * apart - expected) / 2))
 
 
+def _apart(names: list[str]) -> Column:
+    return sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in names), F.lit(0))
+
+
+def _most_flips(percent: int) -> Column:
+    """What the whole sets' XOR population count can be at most: the shingles of one side
+    alone, which the sizes bound; where those fill the bitmap, MARGIN deviations above its
+    mean (bits that are flipped twice are lost)."""
+    alone = (F.col("a.n") + F.col("b.n")) * ((100 - percent) / (100 + percent))
+    mean = BITS / 2 * (1 - F.exp(alone * (-2 / BITS))) + 1
+    spread = F.least(F.sqrt(F.greatest(alone - mean, F.lit(0.0)) * 2), F.lit(math.sqrt(BITS) / 2))
+    return F.least(alone + 1e-6, mean + MARGIN * spread)
+
+
 def _plausible(percent: int) -> Column:
     """Sizes and sketches allow the similarity. For sides ``a`` and ``b``."""
-    differ = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in _SKETCH), F.lit(0))
     small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    return (100 * small >= percent * large) & (differ <= largest_distance(percent / 100))
+    sampled = _apart(_SAMPLED) <= largest_distance(percent / 100)
+    return (100 * small >= percent * large) & sampled & (_apart(_WHOLE) <= _most_flips(percent))
 
 
 def _sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:

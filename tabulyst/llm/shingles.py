@@ -123,6 +123,17 @@ def odd_sketches(samples: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(parity, axis=1).view(np.int64)
 
 
+def odd_sets(value: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps of whole sets (rows without shingles are left out): each shingle flips
+    one of ``bits`` bits. As 64-bit words."""
+    counts = counts[counts > 0]
+    rows = len(counts)
+    place = (mixed(value ^ numbers(1, 8)) % np.uint64(bits)).astype(np.int64)
+    flat = place + np.repeat(np.arange(rows), counts) * bits
+    parity = (np.bincount(flat, minlength=rows * bits) & 1).astype(np.uint8).reshape(rows, bits)
+    return np.packbits(parity, axis=1).view(np.int64)
+
+
 def bands(samples: np.ndarray, rows_each: int) -> np.ndarray:
     """A 64-bit key for each run of ``rows_each`` samples, told apart by its number."""
     n, count = samples.shape
