@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tabulyst.llm import bitslices, bpe, counts, language, nearest, neardup, packing, privacy, quality, warc
+from tabulyst.llm import bitslices, bpe, counts, language, nearest, neardup, packing, privacy, quality, shingles, warc
 from tabulyst.llm.common import ship, table, tokenizer_file
 
 WORDS = tokenizer_file("word_bpe_49k.json")
@@ -221,6 +221,20 @@ def test_near_duplicates(odd, docs, none, size):
         assert neardup.near_duplicates(none, size).count() == 0
 
 
+def test_whole_set_sketches_bound_the_difference():
+    rng, sets = np.random.default_rng(3), []
+    base = rng.integers(0, 1 << 62, 2000, dtype=np.uint64)
+    for n in (1, 2, 40, 300, 2000):
+        sets += [set(base[:n].tolist()), set(base[n // 10 : n].tolist()) | {7, 8}]
+    counts = np.array([*map(len, sets), 0])
+    flips = shingles.odd_sets(np.array([x for s in sets for x in sorted(s)], np.uint64), counts, neardup.BITS).view(np.uint64)
+    assert flips.shape == (len(sets), neardup.BITS // 64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            apart = sum(int(x).bit_count() for x in flips[i] ^ flips[j])
+            assert apart <= len(a ^ b) and (apart - len(a ^ b)) % 2 == 0
+
+
 def test_near_duplicates_in_chains(spark):
     ship(spark)
     rng, rows = random.Random(8), []
