@@ -4,7 +4,9 @@ A fast pseudo-random rotation (sign flips and Hadamard transforms, three times)
 unit vector; its hash is the nearest signed axis. A table's bucket joins as many such
 hashes as the number of vectors asks for, so that buckets keep their size as the data
 grow. A query probes the buckets of its nearest axes in each table; what it meets there is
-ranked by the exact inner product. Buckets are split into blocks of bounded size.
+ranked by the exact inner product. Buckets are split into blocks of bounded size. How many
+buckets a query probes is learned from the data: some queries are answered exactly, and
+probes are added until these meet ENOUGH of their true neighbours.
 """
 
 from __future__ import annotations
@@ -21,7 +23,10 @@ from tabulyst.llm.common import numbers
 from tabulyst.llm.vectors import matrix, valid
 from tabulyst.session import stage
 
+#: Tables, and the fewest probes in each.
 TABLES, PROBES = 16, 6
+#: Queries that are answered exactly, and the share of their neighbours that has to be met.
+CHECKED, ENOUGH = 128, 0.95
 #: Vectors that a bucket holds on average, and at most in one block.
 BUCKET, BLOCK = 512, 1024
 
@@ -72,28 +77,119 @@ def buckets(x: np.ndarray, table: int, axes: list[int], probes: int) -> np.ndarr
     return out
 
 
-def _hashed(rows: DataFrame, probes: int, longest: float, even: bool, width: int, axes: list[int]) -> DataFrame:
-    """``vec_id, v, slot, bucket``: a row for each table and probe."""
-    query = probes > 1
+class Index:
+    """How the vectors of one table are hashed: their longest norm, whether all norms are
+    equal, the axes, and how many tables and probes it takes."""
+
+    def __init__(self, count: int, longest: float, shortest: float, width: int):
+        self.longest, self.even = longest, shortest > 0.999 * longest
+        self.axes = axes_of(count, 1 << max(0, (width + (not self.even) - 1).bit_length()))
+        self.all = math.prod(2 * a for a in self.axes)
+        self.take(PROBES, PROBES >= self.all)
+
+    def take(self, probes: int, whole: bool) -> None:
+        """``whole``: one table, all of whose buckets are probed, meets all there is."""
+        self.tables, self.probes = (1, self.all) if whole else (TABLES, probes)
+
+    def units(self, v: np.ndarray, query: bool) -> np.ndarray:
+        norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        unit = v / (norm if query or self.even else self.longest)
+        if not self.even:  # one more component makes largest products nearest directions
+            unit = np.concatenate([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1, keepdims=True)))], axis=1)
+        size = 1 << max(0, (unit.shape[1] - 1).bit_length())
+        return np.pad(unit, ((0, 0), (0, size - unit.shape[1])))
+
+    def hashes(self, v: np.ndarray, query: bool) -> np.ndarray:
+        """Bucket numbers of each row, over all tables and probes; -1 if fewer."""
+        unit, probes = self.units(v, query), self.probes if query else 1
+        return np.concatenate([np.where((b := buckets(unit, t, self.axes, probes)) < 0, -1, b * TABLES + t) for t in range(self.tables)], axis=1)
+
+    def learn(self, queries: np.ndarray, found: np.ndarray, of: np.ndarray) -> None:
+        """Takes the fewest probes with which ``queries`` meet ENOUGH of their neighbours
+        ``found``; ``of`` has the query of each of these."""
+        if not len(found) or self.tables == 1:
+            return
+        asked, home = self.units(queries, True), self.units(found, False)
+        at = [buckets(home, t, self.axes, 1)[:, 0] for t in range(TABLES)]
+        probes = PROBES
+        while True:
+            met = np.full(len(found), probes)
+            for t in range(TABLES):
+                same = buckets(asked, t, self.axes, probes)[of] == at[t][:, None]
+                met = np.minimum(met, np.where(same.any(axis=1), same.argmax(axis=1), probes))
+            last = int(np.sort(met)[math.ceil(ENOUGH * len(met)) - 1])
+            if last < probes:
+                return self.take(max(PROBES, last + 1), False)
+            probes *= 2
+            if TABLES * probes >= self.all:  # one whole table is less work
+                return self.take(probes, True)
+
+
+def _hashed(rows: DataFrame, index: Index, query: bool, width: int) -> DataFrame:
+    """``vec_id, v, bucket``: a row for each table and probe."""
+    kind = rows.schema["v"].dataType.simpleString()
 
     def hash_(batches):
         for batch in batches:
-            v = matrix(batch.column("v"), width)
-            norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
-            unit = v / (norm if query or even else longest)
-            if not even:  # one more component makes largest products nearest directions
-                unit = np.concatenate([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1, keepdims=True)))], axis=1)
-            size = 1 << max(0, (unit.shape[1] - 1).bit_length())
-            unit = np.pad(unit, ((0, 0), (0, size - unit.shape[1])))
-            found = np.concatenate([np.where((b := buckets(unit, t, axes, probes)) < 0, -1, b * TABLES + t) for t in range(TABLES)], axis=1)
+            found = index.hashes(matrix(batch.column("v"), width).astype(np.float64), query)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))],
+                [batch.column("vec_id"), batch.column("v"), pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))],
                 ["vec_id", "v", "buckets"])
 
-    out = rows.mapInArrow(hash_, "vec_id long, v array<double>, buckets array<long>")
+    out = rows.mapInArrow(hash_, f"vec_id long, v {kind}, buckets array<long>")
     return out.select("vec_id", "v", F.explode("buckets").alias("bucket")).filter("bucket >= 0")
 
 
+def top(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of ``q`` the ``k`` largest products with rows of ``c`` of other ids, ties
+    to the smaller id: places in ``q``, places in ``c``, products."""
+    score = q @ c.T
+    score[qid[:, None] == cid[None, :]] = -np.inf
+    least = np.partition(score, -k, axis=1)[:, -k, None] if score.shape[1] > k else -np.inf
+    row, col = np.nonzero((score >= least) & (score > -np.inf))
+    best = score[row, col]
+    order = np.lexsort((cid[col], -best, row))
+    row, col, best = row[order], col[order], best[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], col[keep], best[keep]
+
+
+def _exact(rows: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, width: int) -> DataFrame:
+    """``place, vec_id, score, v``: the ``k`` best rows for each of a few queries, by their
+    products with all rows, a batch at a time."""
+
+    def best(batches):
+        place, ids, score, v = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, width))
+        for batch in batches:
+            cid, cv = batch.column("vec_id").to_numpy(), matrix(batch.column("v"), width).astype(np.float64)
+            row, col, some = top(qid, q, cid, cv, k)
+            place, ids, score, v = np.r_[place, row], np.r_[ids, cid[col]], np.r_[score, some], np.concatenate([v, cv[col]])
+            order = np.lexsort((ids, -score, place))
+            place, ids, score, v = place[order], ids[order], score[order], v[order]
+            keep = np.arange(len(place)) - np.searchsorted(place, place) < k
+            place, ids, score, v = place[keep], ids[keep], score[keep], v[keep]
+        if len(place):
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * width, pa.int32()), pa.array(v.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(ids), pa.array(score), lists], ["place", "vec_id", "score", "v"])
+
+    near = rows.mapInArrow(best, "place long, vec_id long, score double, v array<double>")
+    order = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
+
+
+def _learn(index: Index, rows: DataFrame, asked: DataFrame, k: int, width: int) -> None:
+    """Sets the probes of an index by the exact answers of CHECKED queries."""
+    if index.tables == 1:
+        return
+    some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CHECKED).collect()
+    if not some:
+        return
+    qid = np.array([r["vec_id"] for r in some], np.int64)
+    q = np.array([list(r["v"]) + [0.0] * (width - len(r["v"])) for r in some], np.float64)
+    near = _exact(rows, qid, q, k, width).collect()
+    index.learn(q, np.array([r["v"] for r in near], np.float64).reshape(len(near), width), np.array([r["place"] for r in near], np.int64))
+
+
 def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each vector whose id is divisible by ``every``
     the ``k`` largest inner products among those met in its buckets, ties to the smaller id.
@@ -106,31 +202,29 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     rows = valid(table, zero=False)
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     whole = rows.agg(F.count("*").alias("n"), F.max(size).alias("longest"), F.min(size).alias("shortest"), F.max(F.size("v")).alias("width")).first()
-    longest, width = whole["longest"] or 1.0, whole["width"] or 1
-    even = (whole["shortest"] or 1.0) > 0.999 * longest
-    axes = axes_of(whole["n"], 1 << max(0, (width + (not even) - 1).bit_length()))
-    data = _hashed(rows, 1, longest, even, width, axes)
+    width = whole["width"] or 1
+    if table.schema["embedding"].dataType.simpleString() == "array<float>":
+        rows = rows.withColumn("v", F.col("v").cast("array<float>"))  # as it came: half the bytes of each copy
+    index = Index(whole["n"], whole["longest"] or 1.0, whole["shortest"] or 1.0, width)
+    queries = rows.filter(F.col("vec_id") % every == 0)
+    _learn(index, rows, queries, k, width)
+    data = _hashed(rows, index, False, width)
     sizes = data.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     large = stage(sizes.filter("blocks > 1"), "buckets")
     blocks = F.coalesce("blocks", F.lit(1))
     held = data.join(large, "bucket", "left").select("bucket", F.pmod(F.xxhash64("vec_id"), blocks).alias("block"), "vec_id", "v")
-    asked = _hashed(rows.filter(F.col("vec_id") % every == 0), PROBES, longest, even, width, axes).join(large, "bucket", "left")
+    asked = _hashed(queries, index, True, width).join(large, "bucket", "left")
     asked = asked.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("vec_id").alias("query_id"), "v")
 
     def rank(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         qid, cid = q.column("query_id").to_numpy(), c.column("vec_id").to_numpy()
-        qv, cv = matrix(q.column("v"), width), matrix(c.column("v"), width)
+        qv, cv = matrix(q.column("v"), width).astype(np.float64), matrix(c.column("v"), width).astype(np.float64)
         out = []
         for a in range(0, len(qid), 256):
-            score = qv[a : a + 256] @ cv.T
-            score[qid[a : a + 256, None] == cid[None, :]] = -np.inf
-            for i, row in enumerate(score):
-                least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-                at = np.flatnonzero((row >= least) & (row > -np.inf))
-                at = at[np.lexsort((cid[at], -row[at]))][:k]
-                out.append((np.full(len(at), qid[a + i]), cid[at], row[at]))
+            row, col, score = top(qid[a : a + 256], qv[a : a + 256], cid, cv, k)
+            out.append((qid[a + row], cid[col], score))
         return pa.table({n: np.concatenate([x[j] for x in out]) for j, n in enumerate(("query_id", "vec_id", "score"))})
 
     met = asked.groupBy("bucket", "block").cogroup(held.groupBy("bucket", "block")).applyInArrow(rank, "query_id long, vec_id long, score double")

@@ -351,6 +351,46 @@ def test_nearest(spark):
     assert nearest.nearest(data.limit(0)).count() == 0
 
 
+def recall(x, index, asked=64, k=20):
+    """The share of true neighbours that the first rows of ``x`` meet in their buckets."""
+    score = x[:asked] @ x.T
+    score[np.arange(asked), np.arange(asked)] = -np.inf
+    near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    home = index.hashes(x[near.ravel()], False).reshape(asked, k, -1)
+    probed = index.hashes(x[:asked], True)
+    return np.mean([np.isin(home[i], probed[i]).any(axis=1).mean() for i in range(asked)])
+
+
+def test_probes_grow_with_the_table():
+    x = np.random.default_rng(3).normal(size=(200_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index, asked = nearest.Index(len(x), 1.0, 1.0, 64), x[100:164]
+    assert recall(x, index) < 0.93  # six probes
+    score = asked @ x.T
+    score[np.arange(64), np.arange(100, 164)] = -np.inf
+    near = np.argpartition(-score, 19, axis=1)[:, :20]
+    index.learn(asked, x[near.ravel()], np.repeat(np.arange(64), 20))
+    assert index.probes > nearest.PROBES and recall(x, index) >= 0.93
+
+
+def test_probes_are_learned_from_exact_answers(spark, monkeypatch):
+    ship(spark)
+    for name, value in (("TABLES", 2), ("PROBES", 1), ("BUCKET", 8)):
+        monkeypatch.setattr(nearest, name, value)
+    x = np.random.default_rng(4).normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    rows = nearest.valid(data, zero=False)
+    index = nearest.Index(len(x), 1.0, 1.0, 32)
+    nearest._learn(index, rows, rows.filter("vec_id % 20 = 0"), 20, 32)
+    assert index.probes > 1
+    score = x[::20] @ x.T
+    score[np.arange(75), np.arange(0, 1500, 20)] = -np.inf
+    near = np.argpartition(-score, 19, axis=1)[:, :20]
+    home, probed = index.hashes(x[near.ravel()], False).reshape(75, 20, -1), index.hashes(x[::20], True)
+    assert np.mean([np.isin(home[i], probed[i]).any(axis=1).mean() for i in range(75)]) >= 0.95
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(nearest.rotated(x, 3), axis=1), np.linalg.norm(x, axis=1))
