@@ -6,7 +6,8 @@ hashes as the number of vectors asks for, so that buckets keep their size as the
 grow. A query probes the buckets of its nearest axes in each table; what it meets there is
 ranked by the exact inner product. Buckets are split into blocks of bounded size. How many
 buckets a query probes is learned from the data: some queries are answered exactly, and
-probes are added until these meet ENOUGH of their true neighbours.
+probes are added until these meet ENOUGH of their true neighbours. Vectors of uneven norms
+are dealt to ranges of norm, each with an index and probes of its own; a query asks all.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tabulyst.session import stage
 TABLES, PROBES = 16, 6
 #: Queries that are answered exactly, and the share of their neighbours that has to be met.
 CHECKED, ENOUGH = 128, 0.95
+#: Ranges of norm per doubling; neighbouring ranges are joined while they hold BUCKET vectors or less.
+RANGES = 4
 #: Vectors that a bucket holds on average, and at most in one block.
 BUCKET, BLOCK = 512, 1024
 
@@ -78,11 +81,11 @@ def buckets(x: np.ndarray, table: int, axes: list[int], probes: int) -> np.ndarr
 
 
 class Index:
-    """How the vectors of one table are hashed: their longest norm, whether all norms are
+    """How the vectors of a range of norm are hashed: the longest norm, whether all norms are
     equal, the axes, and how many tables and probes it takes."""
 
     def __init__(self, count: int, longest: float, shortest: float, width: int):
-        self.longest, self.even = longest, shortest > 0.999 * longest
+        self.longest, self.shortest, self.even = longest, shortest, shortest > 0.999 * longest
         self.axes = axes_of(count, 1 << max(0, (width + (not self.even) - 1).bit_length()))
         self.all = math.prod(2 * a for a in self.axes)
         self.take(PROBES, PROBES >= self.all)
@@ -125,13 +128,42 @@ class Index:
                 return self.take(probes, True)
 
 
-def _hashed(rows: DataFrame, index: Index, query: bool, width: int) -> DataFrame:
-    """``vec_id, v, bucket``: a row for each table and probe."""
-    kind = rows.schema["v"].dataType.simpleString()
+def ranges(cells: list[tuple[int, float, float]], width: int) -> list[Index]:
+    """Indexes from the longest norms to the shortest, for (count, longest, shortest) of
+    cells in that order: small neighbours together, where one bucket holds them all."""
+    joined: list[list] = []
+    for n, longest, shortest in cells:
+        if joined and joined[-1][0] + n <= BUCKET:
+            joined[-1][0] += n
+            joined[-1][2] = shortest
+        else:
+            joined.append([n, longest, shortest])
+    return [Index(n, longest, shortest, width) for n, longest, shortest in joined]
+
+
+def range_of(v: np.ndarray, indexes: list[Index]) -> np.ndarray:
+    """The range of each row: the first whose shortest norm it reaches."""
+    norm = np.sqrt((v * v).sum(axis=1))
+    least = np.array([x.shortest for x in indexes[:-1]]) * (1 - 1e-9)
+    return np.searchsorted(-least, -norm)
+
+
+def _hashed(rows: DataFrame, indexes: list[Index], query: bool, width: int) -> DataFrame:
+    """``vec_id, v, bucket``: a row for each table and probe, in the row's own range or, of a
+    query, in all."""
+    kind, many = rows.schema["v"].dataType.simpleString(), len(indexes)
 
     def hash_(batches):
         for batch in batches:
-            found = index.hashes(matrix(batch.column("v"), width).astype(np.float64), query)
+            v = matrix(batch.column("v"), width).astype(np.float64)
+            if query:
+                found = np.concatenate([np.where((b := x.hashes(v, True)) < 0, -1, b * many + r) for r, x in enumerate(indexes)], axis=1)
+            else:
+                mine = range_of(v, indexes)
+                found = np.full((len(v), TABLES), -1, np.int64)
+                for r in np.unique(mine):
+                    at = np.flatnonzero(mine == r)
+                    found[at, : indexes[r].tables] = indexes[r].hashes(v[at], False) * many + r
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("v"), pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))],
                 ["vec_id", "v", "buckets"])
@@ -177,9 +209,9 @@ def _exact(rows: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, width: int)
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 
 
-def _learn(index: Index, rows: DataFrame, asked: DataFrame, k: int, width: int) -> None:
-    """Sets the probes of an index by the exact answers of CHECKED queries."""
-    if index.tables == 1:
+def _learn(indexes: list[Index], rows: DataFrame, asked: DataFrame, k: int, width: int) -> None:
+    """Sets the probes of the indexes by the exact answers of CHECKED queries."""
+    if all(x.tables == 1 for x in indexes):
         return
     some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CHECKED).collect()
     if not some:
@@ -187,7 +219,10 @@ def _learn(index: Index, rows: DataFrame, asked: DataFrame, k: int, width: int)
     qid = np.array([r["vec_id"] for r in some], np.int64)
     q = np.array([list(r["v"]) + [0.0] * (width - len(r["v"])) for r in some], np.float64)
     near = _exact(rows, qid, q, k, width).collect()
-    index.learn(q, np.array([r["v"] for r in near], np.float64).reshape(len(near), width), np.array([r["place"] for r in near], np.int64))
+    v, place = np.array([r["v"] for r in near], np.float64).reshape(len(near), width), np.array([r["place"] for r in near], np.int64)
+    mine = range_of(v, indexes)
+    for r, index in enumerate(indexes):
+        index.learn(q, v[mine == r], place[mine == r])
 
 
 def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
@@ -200,20 +235,23 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     count as one, with their largest product.
     """
     rows = valid(table, zero=False)
-    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    whole = rows.agg(F.count("*").alias("n"), F.max(size).alias("longest"), F.min(size).alias("shortest"), F.max(F.size("v")).alias("width")).first()
+    size = F.least(F.greatest(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.lit(1e-300)), F.lit(1e300))
+    whole = rows.agg(F.max(size).alias("longest"), F.max(F.size("v")).alias("width")).first()
     width = whole["width"] or 1
+    # norms that differ by rounding alone share the first cell
+    cell = F.floor(RANGES * (F.log2(F.lit(1.001 * (whole["longest"] or 1.0))) - F.log2(size))).alias("cell")
+    cells = rows.groupBy(cell).agg(F.count("*").alias("n"), F.max(size).alias("longest"), F.min(size).alias("shortest")).orderBy("cell").collect()
     if table.schema["embedding"].dataType.simpleString() == "array<float>":
         rows = rows.withColumn("v", F.col("v").cast("array<float>"))  # as it came: half the bytes of each copy
-    index = Index(whole["n"], whole["longest"] or 1.0, whole["shortest"] or 1.0, width)
+    indexes = ranges([(r["n"], r["longest"], r["shortest"]) for r in cells] or [(0, 1.0, 1.0)], width)
     queries = rows.filter(F.col("vec_id") % every == 0)
-    _learn(index, rows, queries, k, width)
-    data = _hashed(rows, index, False, width)
+    _learn(indexes, rows, queries, k, width)
+    data = _hashed(rows, indexes, False, width)
     sizes = data.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     large = stage(sizes.filter("blocks > 1"), "buckets")
     blocks = F.coalesce("blocks", F.lit(1))
     held = data.join(large, "bucket", "left").select("bucket", F.pmod(F.xxhash64("vec_id"), blocks).alias("block"), "vec_id", "v")
-    asked = _hashed(queries, index, True, width).join(large, "bucket", "left")
+    asked = _hashed(queries, indexes, True, width).join(large, "bucket", "left")
     asked = asked.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("vec_id").alias("query_id"), "v")
 
     def rank(q: pa.Table, c: pa.Table) -> pa.Table:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -382,7 +383,7 @@ def test_probes_are_learned_from_exact_answers(spark, monkeypatch):
     data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
     rows = nearest.valid(data, zero=False)
     index = nearest.Index(len(x), 1.0, 1.0, 32)
-    nearest._learn(index, rows, rows.filter("vec_id % 20 = 0"), 20, 32)
+    nearest._learn([index], rows, rows.filter("vec_id % 20 = 0"), 20, 32)
     assert index.probes > 1
     score = x[::20] @ x.T
     score[np.arange(75), np.arange(0, 1500, 20)] = -np.inf
@@ -391,6 +392,29 @@ def test_probes_are_learned_from_exact_answers(spark, monkeypatch):
     assert np.mean([np.isin(home[i], probed[i]).any(axis=1).mean() for i in range(75)]) >= 0.95
 
 
+def test_uneven_norms(spark):
+    ship(spark)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(51_282, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 20
+    data = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = nearest.nearest(data.repartition(4), 800, 20).select("query_id", "vec_id").toPandas()
+    asked = np.arange(0, len(x), 800)
+    score = x[asked].astype(float) @ x.T.astype(float)
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = np.argpartition(-score, 19, axis=1)[:, :20]
+    assert np.mean([len(set(near[i]) & set(got["vec_id"][got["query_id"] == q])) / 20 for i, q in enumerate(asked)]) >= 0.95
+
+
+def test_norm_ranges():
+    found = nearest.ranges([(1, 20.0, 20.0), (100, 10.0, 9.0), (3000, 1.0, 0.9), (300, 0.8, 0.7), (212, 0.5, 0.4)], 4)
+    assert [(x.longest, x.shortest) for x in found] == [(20.0, 9.0), (1.0, 0.9), (0.8, 0.4)]
+    v = np.zeros((5, 4))
+    v[:, 0] = [20.0, 9.0, 0.95, 0.7, 0.4]
+    assert nearest.range_of(v, found).tolist() == [0, 0, 1, 2, 2]
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(nearest.rotated(x, 3), axis=1), np.linalg.norm(x, axis=1))
