@@ -172,18 +172,35 @@ def _hashed(rows: DataFrame, indexes: list[Index], query: bool, width: int) -> D
     return out.select("vec_id", "v", F.explode("buckets").alias("bucket")).filter("bucket >= 0")
 
 
+def _once(cid: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns ordered by id, and their products: of columns that repeat an id only the first
+    with the largest product counts in a row, the others fall to -inf."""
+    order = np.argsort(cid, kind="stable")
+    score, ids = score[:, order], cid[order]
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    sizes = np.diff(np.r_[starts, len(ids)])
+    best = np.repeat(np.maximum.reduceat(score, starts, axis=1), sizes, axis=1)
+    at = np.where(score == best, np.arange(len(ids)), len(ids))
+    first = np.repeat(np.minimum.reduceat(at, starts, axis=1), sizes, axis=1)
+    return order, np.where(at == first, score, -np.inf)
+
+
 def top(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each row of ``q`` the ``k`` largest products with rows of ``c`` of other ids, ties
-    to the smaller id: places in ``q``, places in ``c``, products."""
-    score = q @ c.T
+    to the smaller id: places in ``q``, places in ``c``, products. Rows of ``c`` that repeat an
+    id are one, with the largest product."""
+    score, back = q @ c.T, None
     score[qid[:, None] == cid[None, :]] = -np.inf
+    if len(np.unique(cid)) < len(cid):
+        back, score = _once(cid, score)
+        cid = cid[back]
     least = np.partition(score, -k, axis=1)[:, -k, None] if score.shape[1] > k else -np.inf
     row, col = np.nonzero((score >= least) & (score > -np.inf))
     best = score[row, col]
     order = np.lexsort((cid[col], -best, row))
     row, col, best = row[order], col[order], best[order]
     keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-    return row[keep], col[keep], best[keep]
+    return row[keep], col[keep] if back is None else back[col[keep]], best[keep]
 
 
 def _exact(rows: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, width: int) -> DataFrame:
@@ -196,7 +213,9 @@ def _exact(rows: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, width: int)
             cid, cv = batch.column("vec_id").to_numpy(), matrix(batch.column("v"), width).astype(np.float64)
             row, col, some = top(qid, q, cid, cv, k)
             place, ids, score, v = np.r_[place, row], np.r_[ids, cid[col]], np.r_[score, some], np.concatenate([v, cv[col]])
-            order = np.lexsort((ids, -score, place))
+            order = np.lexsort((-score, ids, place))
+            order = order[np.r_[True, (np.diff(place[order]) != 0) | (np.diff(ids[order]) != 0)][: len(order)]]
+            order = order[np.lexsort((ids[order], -score[order], place[order]))]
             place, ids, score, v = place[order], ids[order], score[order], v[order]
             keep = np.arange(len(place)) - np.searchsorted(place, place) < k
             place, ids, score, v = place[keep], ids[keep], score[keep], v[keep]
@@ -205,6 +224,7 @@ def _exact(rows: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, width: int)
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(ids), pa.array(score), lists], ["place", "vec_id", "score", "v"])
 
     near = rows.mapInArrow(best, "place long, vec_id long, score double, v array<double>")
+    near = near.groupBy("place", "vec_id").agg(F.max(F.struct("score", "v")).alias("x")).select("place", "vec_id", "x.score", "x.v")
     order = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 

@@ -407,6 +407,21 @@ def test_uneven_norms(spark):
     assert np.mean([len(set(near[i]) & set(got["vec_id"][got["query_id"] == q])) / 20 for i, q in enumerate(asked)]) >= 0.95
 
 
+def test_nearest_counts_repeated_ids_once(spark):
+    ship(spark)
+    x = np.random.default_rng(9).normal(size=(60, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 25 + [(3, (2 * x[3]).tolist())]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in nearest.nearest(data, 20, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in (0, 20, 40):
+        score = {i: max(x[q] @ y, 2 * (x[q] @ y) if i == 3 else -np.inf) for i, y in enumerate(x) if i != q}
+        assert got[q] == sorted(score, key=lambda i: (-score[i], i))[:20]
+    place, ids, best = nearest.top(np.array([9]), np.ones((1, 1)), np.array([5, 4, 5, 4, 1]), np.array([[3.0], [2.0], [4.0], [2.0], [1.0]]), 3)
+    assert place.tolist() == [0, 0, 0] and ids.tolist() == [2, 1, 4] and best.tolist() == [4.0, 2.0, 1.0]
+
+
 def test_norm_ranges():
     found = nearest.ranges([(1, 20.0, 20.0), (100, 10.0, 9.0), (3000, 1.0, 0.9), (300, 0.8, 0.7), (212, 0.5, 0.4)], 4)
     assert [(x.longest, x.shortest) for x in found] == [(20.0, 9.0), (1.0, 0.9), (0.8, 0.4)]
