@@ -1,7 +1,8 @@
 """Personal data: base patterns, and terms that give away whom a text is about.
 
-Base spans come from patterns, with Spark's functions alone. Their values are the protected
-entities. Terms (words of a text) that stand in texts with an entity reveal it as far as the
+Base spans come from patterns, with Spark's functions alone. The protected entities are their
+values, what values share (an e-mail's name part and domain, the first digits of a number, an
+address's net) and their kinds, as most values stand in one text alone. Terms (words of a text) that stand in texts with an entity reveal it as far as the
 corpus says so: I(term; entity) = log2 P(entity | term) / P(entity), estimated over all
 documents. In a document that names an entity, a term whose P(entity | term) reaches
 DISCLOSES on SUPPORT distinct texts or more, and which gives at least BITS bits, is
@@ -28,6 +29,8 @@ WORD = r"[\p{L}\p{N}]+"
 DISCLOSES, SUPPORT, BITS = 0.9, 3, 4.0
 #: Letters that a term has at least.
 LEAST = 4
+#: Digits that a number shares with its like: a card's issuer, a phone's country and area.
+PREFIX = 6
 
 _SPANS = "array<struct<start:long,end:long,value:string>>"
 
@@ -96,7 +99,25 @@ def _entities(found: DataFrame) -> Column:
     def name(kind: str):
         return lambda s: F.concat(F.lit(kind + ":"), F.lower(s["value"]) if kind in ("email", "ip") else _digits(s["value"]))
 
-    return F.array_distinct(F.concat(*(F.transform(k, name(k)) for k in KINDS)))
+    return F.array_distinct(F.concat(*(F.transform(k, name(k)) for k in KINDS), *_shared()))
+
+
+def _shared() -> list[Column]:
+    """What values share with others, told apart by its form."""
+    def first(kind: str):
+        return lambda s: F.concat(F.lit(kind + "-prefix:"), F.substring(_digits(s["value"]), 1, PREFIX))
+
+    return [
+        F.transform("email", lambda s: F.concat(F.lit("email-name:"), F.lower(F.substring_index(s["value"], "@", 1)))),
+        F.transform("email", lambda s: F.concat(F.lit("email-domain:"), F.lower(F.substring_index(s["value"], "@", -1)))),
+        F.transform("ip", lambda s: F.concat(F.lit("ip-net:"), F.substring_index(s["value"], ".", 3))),
+        F.transform("card", first("card")), F.transform("phone", first("phone")),
+    ]
+
+
+def _kinds() -> Column:
+    """The kinds that a row has a value of."""
+    return F.filter(F.array(*(F.when(F.size(k) > 0, F.lit(k)) for k in KINDS)), lambda k: k.isNotNull())
 
 
 def _terms(text: Column) -> Column:
@@ -119,15 +140,20 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     Counts are over distinct texts, so that copies add no evidence. Terms are counted in all
     documents; only those that can matter leave the count.
     """
-    marked = found.select("doc_id", F.xxhash64("text").alias("copy"), F.char_length("text").alias("size"), _entities(found).alias("entities"), _without(found).alias("rest"))
-    naming = stage(marked.filter(F.size("entities") > 0).select("doc_id", "copy", "size", "entities", _terms(F.col("rest")).alias("terms")), "naming")
-    once = stage(naming.groupBy("copy", "size").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms")), "once")
+    marked = found.select("doc_id", F.xxhash64("text").alias("copy"), F.char_length("text").alias("size"), _entities(found).alias("entities"), _kinds().alias("kinds"), _without(found).alias("rest"))
+    naming = stage(marked.filter(F.size("entities") > 0).select("doc_id", "copy", "size", "entities", "kinds", _terms(F.col("rest")).alias("terms")), "naming")
+    once = stage(naming.groupBy("copy", "size").agg(*(F.first(c).alias(c) for c in ("entities", "kinds", "terms"))), "once")
     total = found.select(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).first()["n"]
     of_entity = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= SUPPORT)
     # an entity that too few texts name can't be disclosed by enough of them
     frequent = stage(of_entity, "entities")
     pairs = once.select("terms", F.explode("entities").alias("entity")).join(frequent, "entity").select("entity", "with_entity", F.explode("terms").alias("term"))
-    both = stage(pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("with_entity").alias("with_entity")).filter(F.col("both") >= SUPPORT), "both")
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("with_entity").alias("with_entity"))
+    # the kinds are few and have many texts: they are counted without a join
+    of_kind = once.select(*(F.count_if(F.array_contains("kinds", k)).alias(k) for k in KINDS)).first().asDict()
+    with_kind = F.coalesce(*(F.when(F.col("entity") == k, F.lit(n)) for k, n in of_kind.items())).alias("with_entity")
+    by_kind = once.select(F.explode("kinds").alias("entity"), "terms").select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("both"))
+    both = stage(both.unionByName(by_kind.select("entity", "term", "both", with_kind)).filter(F.col("both") >= SUPPORT), "both")
     # texts by term: each distinct text once, over the whole corpus
     texts = found.select(F.xxhash64("text").alias("copy"), F.char_length("text").alias("size"), F.explode(_terms(F.col("text"))).alias("term"))
     wanted = stage(both.select("term").distinct(), "terms")
@@ -135,8 +161,12 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     share = F.col("both") / F.col("with_term")
     told = both.join(stage(counts, "counts"), "term").filter(share >= DISCLOSES).filter(F.log2(share / (F.col("with_entity") / F.lit(max(total, 1)))) >= BITS)
     told = stage(told.select("entity", "term"), "told")
-    mine = naming.select("doc_id", "copy", F.explode("entities").alias("entity"), "terms").join(told.groupBy("entity").agg(F.collect_set("term").alias("telling")), "entity")
-    return mine.select("doc_id", "copy", F.explode(F.array_intersect("terms", "telling")).alias("term")).groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    named = naming.select("doc_id", "copy", F.explode("entities").alias("entity"), "terms")
+    mine = named.join(told.groupBy("entity").agg(F.collect_set("term").alias("telling")), "entity")
+    mine = mine.select("doc_id", "copy", F.explode(F.array_intersect("terms", "telling")).alias("term"))
+    kind = naming.select("doc_id", "copy", F.explode("kinds").alias("entity"), "terms").select("doc_id", "copy", "entity", F.explode("terms").alias("term"))
+    kind = kind.join(told.filter(F.col("entity").isin(*KINDS)), ["entity", "term"], "left_semi").select("doc_id", "copy", "term")
+    return mine.unionByName(kind).groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
 def find(docs: DataFrame) -> DataFrame:

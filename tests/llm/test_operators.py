@@ -311,6 +311,20 @@ def test_disclosing_terms_go(spark):
     assert by[0] == rows[0][1] and by[301] == "" and by[300] == rows[-2][1]
 
 
+def test_entities_that_share_a_part_disclose(spark):
+    rows = [(i, f"plain words number {i} and nothing else") for i in range(200)]
+    rows += [(300 + i, f"Zephyrine wrote text {i} to person{i}@rare.example") for i in range(4)]  # a domain
+    rows += [(400 + i, f"Quillonia wrote text {i} from same.person@host{i}.example") for i in range(4)]  # a name part
+    rows += [(500 + i, f"Marblewick wrote text {i} by +1 (428) 555-{1000 + 37 * i}") for i in range(4)]  # a prefix
+    rows += [(600 + i, f"Serverroom wrote text {i} at 10.{i}.{i}.7") for i in range(4)]  # a kind alone
+    rows += [(700 + i, f"Ordinary wrote text {i}") for i in range(9)] + [(800, "Ordinary wrote to other@elsewhere.example")]
+    found = privacy.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    by = {r["doc_id"]: r["s"] for r in found.select("doc_id", privacy.sanitised().alias("s")).collect()}
+    for at, name in ((300, "Zephyrine"), (400, "Quillonia"), (500, "Marblewick"), (600, "Serverroom")):
+        assert all(name not in by[at + i] and "[name]" in by[at + i] for i in range(4)), name
+    assert "Ordinary" in by[800] and by[0] == rows[0][1]
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=12).tolist(), 1) for i in range(400)]
