@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulyst.llm import bitslices, bpe, counts, language, nearest, neardup, packing, privacy, quality, warc
+from tabulyst.llm import (
+    bitslices, bpe, conversations, counts, language, nearest, neardup, packing, periods, privacy, quality, sharding, warc,
+)
 from tabulyst.llm.common import ship, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,9 @@ def registered() -> dict[str, Query]:
         "op8_sanitisation": _on("documents", lambda d: privacy.summary(privacy.find(d))),
         "op9_cross_polytope": _on("embeddings", nearest.nearest),
         "op10_bit_slices": _on("embeddings", bitslices.top_products),
+        "op11_synchronised_runs": _on("documents", lambda d: periods.run_digests(periods.periodic_runs(d, periods.repeat_tail))),
+        "op12_hirschberg_repair": _on("conversations", conversations.damage_and_repair),
+        "op13_feistel_shards": _on("documents", lambda d: sharding.places_by_law(d.select("doc_id", "text"))),
     }
 
 
