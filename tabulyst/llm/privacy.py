@@ -24,31 +24,48 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-WORD = r"[\p{L}\p{N}]+"
 
 DISCLOSES, SUPPORT, BITS = 0.9, 3, 4.0
-#: Letters that a term has at least.
-LEAST = 4
 #: Digits that a number shares with its like: a card's issuer, a phone's country and area.
 PREFIX = 6
 
 _SPANS = "array<struct<start:long,end:long,value:string>>"
+#: Matches that are laid end to end at once: adding to an array copies it.
+_PART = 64
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _found(text: Column, pattern: Column) -> Column:
     """All matches as (start, end, value) in code points: what lies between matches, and the
-    matches, are laid end to end."""
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.char_length(g).cast("long").alias("g"), h.alias("h")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("out"))
+    matches, are laid end to end, first within parts of _PART matches, then part by part."""
+    none = F.array().cast(_SPANS)
+    return _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda hits: F.when(F.size(hits) == 0, none).otherwise(
+        _let(F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(hits)), hits, lambda g, h: F.struct(F.char_length(g).cast("long").alias("g"), h.alias("h"))), _laid)))
+
+
+def _laid(pairs: Column) -> Column:
+    """Spans from the lengths of gaps and the matches that follow them."""
+    def begun(spans: str) -> Column:
+        return F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(spans).alias("out"))
 
     def step(a: Column, x: Column) -> Column:
         begin = a["at"] + x["g"]
         end = begin + F.char_length(x["h"])
         return F.struct(end.alias("at"), F.concat(a["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["h"].alias("value")))).alias("out"))
 
-    return F.aggregate(pairs, start, step)["out"]
+    def behind(a: Column, part: Column) -> Column:
+        place = F.struct(a["at"].alias("at"), part["out"].alias("spans"))
+        return F.struct((a["at"] + part["at"]).alias("at"), F.concat(a["out"], F.array(place)).alias("out"))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _PART).cast("int"))
+    parts = F.transform(numbers, lambda k: F.aggregate(F.slice(pairs, k * _PART + 1, F.lit(_PART)), begun(_SPANS), step))
+    placed = F.aggregate(parts, begun(f"array<struct<at:long,spans:{_SPANS}>>"), behind)["out"]
+    return F.flatten(F.transform(placed, lambda p: F.transform(p["spans"], lambda s: F.struct(
+        (s["start"] + p["at"]).alias("start"), (s["end"] + p["at"]).alias("end"), s["value"].alias("value")))))
 
 
 def _luhn(digits: Column) -> Column:
@@ -83,9 +100,9 @@ def _kept(kind: str):
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text``, an array of (start, end, value) for each kind, and ``row``: the other
-    columns. Null texts are empty. A text without the characters that a kind needs is not
+    columns, numbered (see ``rows_of``). Null texts are empty. A text without the characters that a kind needs is not
     searched for it."""
-    rest = F.struct(F.lit(True).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+    rest = F.struct(F.lit(True).alias("_"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")))
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), rest.alias("row"))
     none = F.array().cast(_SPANS)
     needs = {"email": F.col("text").contains("@"), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": F.col("text").rlike(r"(?:[0-9][\x20-]?){12}[0-9]"), "phone": F.col("text").rlike(r"\+[0-9]")}
@@ -94,6 +111,12 @@ def base_spans(docs: DataFrame) -> DataFrame:
         F.when(needs[k], F.filter(_found(F.col("text"), F.lit(pattern[k])), _kept(k))).otherwise(none).alias(k) for k in KINDS))
 
 
+def rows_of(found: DataFrame, columns: list[str], own: dict[str, Column]) -> DataFrame:
+    """The rows that ``found`` was made from, with their ``columns``; ``own`` gives new values."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **own}
+    return found.select(*((own[c] if c in own else F.col("row").getField(f"c{i}")).alias(c) for i, c in enumerate(columns)))
+
+
 def _entities(found: DataFrame) -> Column:
     """The protected values of a row, told apart by kind; blanks and signs don't count."""
     def name(kind: str):
@@ -121,9 +144,9 @@ def _kinds() -> Column:
 
 
 def _terms(text: Column) -> Column:
-    """The distinct words of a text that can be terms: with a letter, and long enough."""
+    """The distinct words of a text that can be terms: those with a letter, in any script."""
     words = F.array_distinct(F.split(text, r"[^\p{L}\p{N}]+"))
-    return F.filter(words, lambda w: (F.char_length(w) >= LEAST) & (F.upper(w) != F.lower(w)))
+    return F.filter(words, lambda w: w.rlike(r"\p{L}"))
 
 
 def _without(found: DataFrame) -> Column:
@@ -137,13 +160,18 @@ def _without(found: DataFrame) -> Column:
 def disclosing_terms(found: DataFrame) -> DataFrame:
     """``doc_id, copy, terms``: the terms of each document with an entity that disclose it.
 
-    Counts are over distinct texts, so that copies add no evidence. Terms are counted in all
-    documents; only those that can matter leave the count.
+    Counts are over distinct texts, so that copies add no evidence. Words of all texts are
+    counted by a 64-bit hash, which sends one partial count for each word of a task.
     """
-    marked = found.select("doc_id", F.xxhash64("text").alias("copy"), F.char_length("text").alias("size"), _entities(found).alias("entities"), _kinds().alias("kinds"), _without(found).alias("rest"))
+    copy = [F.xxhash64("text").alias("copy"), F.char_length("text").alias("size")]
+    hashed = F.transform(_terms(F.col("text")), lambda t: F.xxhash64(t)).alias("hashes")
+    # hashes are taken below the explode, or the text would be hashed anew for each word
+    texts = found.select(*copy, hashed).groupBy("copy", "size").agg(F.first("hashes").alias("hashes"))
+    counts = stage(texts.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("with_term")), "counts")
+    total = found.select(*copy).distinct().count()
+    marked = found.select("doc_id", *copy, _entities(found).alias("entities"), _kinds().alias("kinds"), _without(found).alias("rest"))
     naming = stage(marked.filter(F.size("entities") > 0).select("doc_id", "copy", "size", "entities", "kinds", _terms(F.col("rest")).alias("terms")), "naming")
     once = stage(naming.groupBy("copy", "size").agg(*(F.first(c).alias(c) for c in ("entities", "kinds", "terms"))), "once")
-    total = found.select(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).first()["n"]
     of_entity = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= SUPPORT)
     # an entity that too few texts name can't be disclosed by enough of them
     frequent = stage(of_entity, "entities")
@@ -153,20 +181,15 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     of_kind = once.select(*(F.count_if(F.array_contains("kinds", k)).alias(k) for k in KINDS)).first().asDict()
     with_kind = F.coalesce(*(F.when(F.col("entity") == k, F.lit(n)) for k, n in of_kind.items())).alias("with_entity")
     by_kind = once.select(F.explode("kinds").alias("entity"), "terms").select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("both"))
-    both = stage(both.unionByName(by_kind.select("entity", "term", "both", with_kind)).filter(F.col("both") >= SUPPORT), "both")
-    # texts by term: each distinct text once, over the whole corpus
-    texts = found.select(F.xxhash64("text").alias("copy"), F.char_length("text").alias("size"), F.explode(_terms(F.col("text"))).alias("term"))
-    wanted = stage(both.select("term").distinct(), "terms")
-    counts = texts.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("with_term"))
+    both = stage(both.unionByName(by_kind.select("entity", "term", "both", with_kind)).filter(F.col("both") >= SUPPORT).withColumn("hash", F.xxhash64("term")), "both")
     share = F.col("both") / F.col("with_term")
-    told = both.join(stage(counts, "counts"), "term").filter(share >= DISCLOSES).filter(F.log2(share / (F.col("with_entity") / F.lit(max(total, 1)))) >= BITS)
+    told = both.join(counts, "hash").filter(share >= DISCLOSES).filter(F.log2(share / (F.col("with_entity") / F.lit(max(total, 1)))) >= BITS)
     told = stage(told.select("entity", "term"), "told")
-    named = naming.select("doc_id", "copy", F.explode("entities").alias("entity"), "terms")
-    mine = named.join(told.groupBy("entity").agg(F.collect_set("term").alias("telling")), "entity")
-    mine = mine.select("doc_id", "copy", F.explode(F.array_intersect("terms", "telling")).alias("term"))
-    kind = naming.select("doc_id", "copy", F.explode("kinds").alias("entity"), "terms").select("doc_id", "copy", "entity", F.explode("terms").alias("term"))
-    kind = kind.join(told.filter(F.col("entity").isin(*KINDS)), ["entity", "term"], "left_semi").select("doc_id", "copy", "term")
-    return mine.unionByName(kind).groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    # the terms that a document holds, of those that its entities and kinds are told by
+    named = naming.select("doc_id", "copy", "terms", F.explode(F.concat("entities", "kinds")).alias("entity"))
+    named = named.join(told.select("entity").distinct(), "entity", "left_semi").select("doc_id", "copy", "entity", F.explode("terms").alias("term"))
+    mine = named.join(told, ["entity", "term"], "left_semi").select("doc_id", "copy", "term")
+    return mine.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
 def find(docs: DataFrame) -> DataFrame:
