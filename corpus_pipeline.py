@@ -43,8 +43,8 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     texts become empty; ``n_chars`` is that of the new text."""
     ship(spark)
     found = privacy.find(docs).withColumn("text", privacy.sanitised())
-    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return found.select(*(own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+    own = {"n_chars": F.char_length("text").cast("long")}
+    return privacy.rows_of(found, docs.columns, own)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
