@@ -297,31 +297,25 @@ def _spoken(name: str) -> Column:
 def _ordered(table: DataFrame) -> DataFrame:
     """Each distinct row once, with how often it comes and what is wrong with it, in the order of
     conversation, turn, role and text. Equal rows lie side by side in that order, and
-    whether one was seen earlier needs the first turn of (conversation, role, text) alone: all
-    is counted before the shuffles."""
-    key = ["conv_id", "turn", "role", "text"]
-    rows = table.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), _spoken("role"), _spoken("text"))
-    counted = rows.groupBy(*key).agg(F.count("*").alias("copies"))
-    earliest = counted.groupBy("conv_id", "role", "text").agg(F.min(F.struct(F.col("turn").isNotNull().alias("given"), "turn"))["turn"].alias("turn"))
-    marked = counted.select(*key, "copies", F.lit(False).alias("first")).unionByName(earliest.select(*key, F.lit(0).cast("long").alias("copies"), F.lit(True).alias("first")))
-    entries = marked.groupBy(*key).agg(F.sum("copies").alias("all"), F.max("first").alias("first"))
+    whether one was seen earlier needs the first turn of (conversation, role, text) alone: both
+    are counted before the shuffles, by 128 bits of role and text."""
+    digest = [F.xxhash64(F.lit(seed), "role", "text").alias(name) for seed, name in ((1, "h1"), (2, "h2"))]
+    rows = table.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), _spoken("role"), _spoken("text")).select("*", *digest)
+    earliest = rows.groupBy("conv_id", "h1", "h2").agg(F.min(F.struct(F.col("turn").isNotNull().alias("given"), "turn"))["turn"].alias("turn"))
+    each = rows.withColumns({"copies": F.lit(1).cast("long"), "first": F.lit(False)})
+    marked = each.unionByName(earliest.withColumn("first", F.lit(True)), allowMissingColumns=True)
+    entries = marked.groupBy("conv_id", "turn", "h1", "h2").agg(
+        F.sum("copies").alias("all"), F.max("first").alias("first"), F.max("role").alias("role"), F.max("text").alias("text"))
     at = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / COPIES))).alias("piece")
-    pieces = entries.select(*key, "first", "all", at)
+    pieces = entries.select("conv_id", "turn", "role", "text", "first", "all", at)
     many = F.least(F.lit(COPIES).cast("long"), F.col("all") - F.col("piece") * COPIES).alias("copies")
     blank, cut = ~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("text").rlike(r"[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*\z")
-    order = [*key, "piece"]
+    order = ["conv_id", "turn", "role", "text", "piece"]
     return pieces.repartitionByRange(*order).sortWithinPartitions(*order).select(*order, "first", many, blank.alias("blank"), cut.alias("truncated"))
 
 
-def repair(table: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Blocks of repaired rows of a table ``conv_id, turn, role, text``: ``conv_id, block`` (in
-    order), ``audit, cost, roles, texts`` (edited rows) and what was found in the block.
-
-    Null roles and texts are one space, a null turn comes first, a null conv_id is a
-    conversation of its own. Rows of one turn are ordered by role and text. A kept role has
-    the initial s, u or a; others (an empty one too) are reroled or deleted. Further columns are left out. An
-    empty table gives no blocks. ``block`` bounds the rows of a block.
-    """
+def _parts(table: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The repaired blocks of conversations that lie in one block, and those of the others."""
     blocks = stage(_ordered(table).mapInArrow(_blocks(block), _BLOCK), "blocks")
     chain = blocks.filter("not alone").select("conv_id", "block", "costs", "ranks")
     backward = chain.repartition("conv_id").sortWithinPartitions("conv_id", F.col("block").desc()).mapInArrow(_back, _CHAIN)
@@ -332,7 +326,20 @@ def repair(table: DataFrame, block: int = BLOCK) -> DataFrame:
     states = states.join(ends, "block", "left").select("block", "enter", "leave", F.coalesce("last", F.lit(False)).alias("last"))
     rest = ["conv_id", "block", "alone", "codes", "roles", "texts", *_FACT_NAMES]
     apart = blocks.filter("not alone").select(*rest).join(states, "block").mapInArrow(_solved, _PIECE)
-    return stage(blocks.filter("alone").select(*rest).mapInArrow(_solved, _PIECE).unionByName(apart), "repaired")
+    return blocks.filter("alone").select(*rest).mapInArrow(_solved, _PIECE), apart
+
+
+def repair(table: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Blocks of repaired rows of a table ``conv_id, turn, role, text``: ``conv_id, block`` (in
+    order), ``audit, cost, roles, texts`` (edited rows) and what was found in the block.
+
+    Null roles and texts are one space, a null turn comes first, a null conv_id is a
+    conversation of its own. Rows of one turn are ordered by role and text. A kept role has
+    the initial s, u or a; others (an empty one too) are reroled or deleted. Further columns are left out. An
+    empty table gives no blocks. ``block`` bounds the rows of a block.
+    """
+    alone, apart = _parts(table, block)
+    return alone.unionByName(apart)
 
 
 def repaired_turns(pieces: DataFrame) -> DataFrame:
@@ -384,12 +391,13 @@ def _reported(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([done()], schema)
 
 
-def reports(pieces: DataFrame) -> DataFrame:
+def reports(table: DataFrame, block: int = BLOCK) -> DataFrame:
     """``conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256`` of
-    each repaired conversation. A check sum can't be taken in parts: the blocks of a conversation spread over several
-    pass through one task in order, one at a time."""
-    apart = pieces.filter("not alone").repartition("conv_id").sortWithinPartitions("conv_id", "block")
-    return pieces.filter("alone").mapInArrow(_reported, _REPORT).unionByName(apart.mapInArrow(_reported, _REPORT))
+    each conversation that ``repair`` repairs. A check sum can't be taken in parts: the blocks
+    of a conversation spread over several pass through one task in order, one at a time."""
+    alone, apart = _parts(table, block)
+    apart = apart.repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    return alone.mapInArrow(_reported, _REPORT).unionByName(apart.mapInArrow(_reported, _REPORT))
 
 
 def damaged(table: DataFrame) -> DataFrame:
@@ -407,7 +415,7 @@ def damaged(table: DataFrame) -> DataFrame:
 def damage_and_repair(table: DataFrame, block: int = BLOCK) -> DataFrame:
     """The report of every conversation of ``table`` after damage; those without rows left have
     zeros, an empty audit and the check sum of nothing."""
-    found = reports(repair(damaged(table), block))
+    found = reports(damaged(table), block)
     every = table.select(F.col("conv_id").cast("long").alias("own")).distinct()
     empty = {"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
     names = [f.split()[0] for f in _REPORT.split(", ")][1:]

@@ -124,7 +124,7 @@ def test_odd_rows(spark, monkeypatch, block):
     assert got(conversations.damage_and_repair(table, block)) == expected(rows)
     plain = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
     pieces = conversations.repair(table, block)
-    assert got(conversations.reports(pieces)) == expected(plain, damage=False)
+    assert got(conversations.reports(table, block)) == expected(plain, damage=False)
     lines = {}
     for r in conversations.repaired_turns(pieces).orderBy("conv_id", "block", "place").collect():
         lines.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
