@@ -16,6 +16,7 @@ from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
 from tabulyst.operators import profile as P
 from tabulyst.operators import roles as R
+from tabulyst.operators.gram import masked_correlations
 from tabulyst.operators.selection import distinct_up_to
 
 # Bins of a histogram, the share of values a correlated column needs.
@@ -105,7 +106,8 @@ def pair_correlations(
     With a ``target`` only its pairs are computed. One pass finds counts and
     means, the next sums the products of the distances from the means: plain
     sums, which Spark compiles, where a covariance aggregate per pair is not. A
-    constant column gives a null, not an error.
+    constant column gives a null, not an error. Wide tables use matrix products, with
+    masks where columns have gaps.
     """
     columns = list(columns)
     numbers = [_number(df, c) for c in columns]
@@ -119,9 +121,11 @@ def pair_correlations(
           for n, agg in (("n", F.count(x)), ("m", F.avg(x)), ("lo", F.min(x)), ("hi", F.max(x)))],
     ).first()
     full = [seen[f"n{i}"] == seen["rows"] for i in range(len(columns))]
-    if target is None and len(columns) > PAIRWISE_COLUMNS and all(full) and seen["rows"] > 1:
-        return _matrix_correlations(df, columns, numbers, seen["rows"])
     varies = [seen[f"n{i}"] > 1 and seen[f"lo{i}"] < seen[f"hi{i}"] for i in range(len(columns))]
+    if target is None and len(columns) > PAIRWISE_COLUMNS:
+        if all(full) and seen["rows"] > 1:
+            return _matrix_correlations(df, columns, numbers, seen["rows"])
+        return masked_correlations(df, columns, numbers, [seen[f"m{i}"] for i in range(len(columns))], varies)
     off = [x - F.lit(seen[f"m{i}"]) for i, x in enumerate(numbers)]
     aggs = [F.sum(off[i] * off[i]).alias(f"s{i}") for i in range(len(columns)) if varies[i]]
     records = []

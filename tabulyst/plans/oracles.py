@@ -303,6 +303,19 @@ def _pattern(name: str, unit: str) -> str:
             "where trip_start_timestamp is not null group by 1")
 
 
+def _wide_pairs() -> str:
+    """Correlations of all pairs of 70 columns with gaps."""
+    named = [
+        (f"{m}_{k}", f"case when (trip_key*{k + 3}+leg)%{k + 5}=0 then null else {m}*cast(trip_key%{k + 2}+1 as double) end")
+        for k in range(14) for m in METRICS
+    ]
+    pairs = [(a, b) for i, (a, _) in enumerate(named) for b, _ in named[i + 1:]]
+    sums = ", ".join(f"{{'x': '{a}', 'y': '{b}', 'n': regr_count({a},{b}), 'r': round(corr({a},{b}),6)}}" for a, b in pairs)
+    columns = ", ".join(f"{sql} as {name}" for name, sql in named)
+    return f"""{WITH_TRIPS}, wide as (select {columns} from trips), one as (select [{sums}] as p from wide),
+      rows as (select unnest(p) as s from one) select s.x as x, s.y as y, cast(s.n as bigint) as n, s.r as r from rows"""
+
+
 def _findings() -> str:
     rates = _unpivot(TRIP_COLUMNS, "{i} as position, '{c}' as name, avg(case when {c} is null then 1e0 else 0e0 end) as missing_rate", "rep")
     t = FINDING_TEXTS
@@ -479,6 +492,7 @@ def oracle_queries() -> dict[str, str]:
           round(trip_miles,6) as trip_miles, pickup_zone_code from trips where trip_seconds is not null""",
         "histogram40": " union all ".join(hist),
         "correlation_pairs": line_pairs,
+        "correlation_wide": _wide_pairs(),
         "correlation_with_gaps": f"{WITH_TRIPS} {gap_pairs}",
         "ranked_pairs": f"{WITH_TRIPS} {five_pairs}",
         "target_correlation": " union all ".join(

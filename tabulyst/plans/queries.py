@@ -16,7 +16,7 @@ from tabulyst.operators import findings as fnd
 from tabulyst.operators import roles as R
 from tabulyst.operators import stat_tests as st
 from tabulyst.operators import summaries as sm
-from tabulyst.plans.tables import plan_replies, repeated_trips, replies as reply_table, table, trips
+from tabulyst.plans.tables import plan_replies, repeated_trips, replies as reply_table, table, trips, wide_trips
 from tabulyst.session import staging_dir
 from tabulyst.sources import extract, sinks
 from tabulyst.sources.readers import load_metadata, read_csv, read_part
@@ -353,6 +353,13 @@ def correlation_with_gaps(spark, folder):
     return rounded(pairs.select("x", "y", "n", "r"), 8)
 
 
+@query
+def correlation_wide(spark, folder):
+    """All pairs of many columns with gaps, each over its complete rows."""
+    df = wide_trips(spark, folder, TRIP_NUMBERS)
+    return rounded(charts.pair_correlations(df, df.columns).select("x", "y", "n", "r"))
+
+
 @query
 def ranked_pairs(spark, folder):
     """Pairs by strength, with whether their names make a meaningful pair."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,22 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# How many columns each metric of the wide trips gives.
+WIDE_VARIANTS = 14
+
+
+def wide_column(metric: str, k: int) -> tuple[str, str]:
+    """Name and SQL, in Spark's and DuckDB's dialects, of a scaled metric with gaps of its own."""
+    sql = f"case when (trip_key * {k + 3} + leg) % {k + 5} = 0 then null else {metric} * cast(trip_key % {k + 2} + 1 as double) end"
+    return f"{metric}_{k}", sql
+
+
+def wide_trips(spark: SparkSession, folder: str, metrics: Sequence[str]) -> DataFrame:
+    """Trips as many numeric columns, all with gaps."""
+    columns = [wide_column(m, k) for k in range(WIDE_VARIANTS) for m in metrics]
+    return trips(spark, folder).selectExpr(*(f"{sql} as {name}" for name, sql in columns))
+
+
 def repeated_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips with their first legs a second time."""
     copies = F.expr("explode(array_repeat(0, case when leg = 1 then 2 else 1 end))")

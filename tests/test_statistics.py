@@ -54,6 +54,33 @@ def test_matrix_and_pairs_agree(spark):
             assert r["r"] == pytest.approx(want[r["i"], r["j"]], abs=1e-6)
 
 
+def test_wide_columns_with_gaps(spark):
+    rng = np.random.default_rng(6)
+    data = rng.normal(1e5, 3.0, (900, 150))
+    data[:, 7] += data[:, 9]
+    data[rng.random(data.shape) < 0.2] = np.nan
+    data[:, 20] = 4.25
+    data[:, 21] = np.nan
+    data[10:, 22] = np.nan
+    data[:10, 23] = 7.0
+    cols = [f"c{i}" for i in range(data.shape[1])]
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in row] for row in data], ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {(r["i"], r["j"]): r for r in charts.pair_correlations(df, cols).collect()}
+    assert len(got) == 150 * 149 // 2
+    for (i, j), r in got.items():
+        both = ~np.isnan(data[:, i]) & ~np.isnan(data[:, j])
+        x, y = data[both, i], data[both, j]
+        assert (r["x"], r["y"], r["n"]) == (cols[i], cols[j], both.sum())
+        if len(x) < 2 or x.min() == x.max() or y.min() == y.max():
+            assert r["r"] is None
+        else:
+            assert r["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+    small = {(r["i"], r["j"]): r["r"] for r in charts.pair_correlations(df, cols[:6]).collect()}
+    assert all(got[k]["r"] == pytest.approx(v, abs=1e-9) for k, v in small.items())
+    none = charts.pair_correlations(df.filter("false"), cols[:20]).collect()
+    assert len(none) == 190 and {(r["n"], r["r"]) for r in none} == {(0, None)}
+
+
 def test_yates(spark):
     lines = tables.table(spark, "/root/testdata/sf0.01", "lineitem").where("l_returnflag <> 'A'")
     got = st.chi2(lines, "l_returnflag", "l_linestatus").first()
