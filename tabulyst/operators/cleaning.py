@@ -14,13 +14,12 @@ from tabulyst.functions import names
 from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
 from tabulyst.operators import roles as R
+from tabulyst.operators.copies import COPIES, counted_rows, distinct_rows, row_counts
 from tabulyst.operators.selection import exact_quantiles
-from tabulyst.session import stage
 
 # The label of a filled category and the words of the log.
 FILL_LABEL = "Missing"
 FILL_CATEGORY, FILL_MEDIAN = "missing_category", "median"
-COPIES = "__copies"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("dropped_duplicates", T.LongType()),
@@ -59,21 +58,13 @@ class CleaningLog:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """Whole-row de-duplication; copies of a row merge before the shuffle."""
-    return df.distinct()
-
-
-def counted_rows(df: DataFrame) -> DataFrame:
-    """The distinct rows, each with its number of copies in ``COPIES``."""
-    return df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias(COPIES))
+    """Whole-row de-duplication; only rows that may have copies are shuffled."""
+    return distinct_rows(df)
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """(n_rows, n_distinct, dropped_duplicates) from one scan and one shuffle."""
-    counted = counted_rows(df).agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("n_rows"), F.count("*").alias("n_distinct")
-    )
-    return counted.withColumn("dropped_duplicates", F.col("n_rows") - F.col("n_distinct"))
+    """(n_rows, n_distinct, dropped_duplicates)."""
+    return row_counts(df).withColumn("dropped_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
 def missing_counts(df: DataFrame, *more: Column) -> tuple[Row, dict[str, int]]:
@@ -155,13 +146,10 @@ def clean(
 ) -> tuple[DataFrame, dict[str, str], CleaningLog]:
     """The cleaned table, the roles left, and the log.
 
-    The de-duplicated table is written once (``staged``): it costs a shuffle of
-    all rows and is scanned by the counts, the medians and all that follows.
+    The de-duplicated table is written once (``staged``): it is scanned by the
+    counts, the medians and all that follows.
     """
-    # the copies are counted while they are dropped, so the raw table is read once
-    counted = counted_rows(df)
-    if staged:
-        counted = stage(counted, "unique")
+    counted = counted_rows(df, staged)
     unique = counted.drop(COPIES)
     casts = conversions(unique, roles)
     cast = unique.withColumns({c: expr for c, (_, expr) in casts.items()}) if casts else unique
