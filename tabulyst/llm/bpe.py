@@ -3,9 +3,11 @@
 1. The texts are cut into pre-tokens where they are read. A chunk of documents keeps its
    distinct words once, dealt to buckets by a hash, and the places of the words in its
    documents as numbers into that list. Both are written to the shared folder.
-2. The words, not the documents, are shuffled by bucket. Every occurrence list of a word
-   meets in one task, which merges the word's bytes once.
-3. The ids return to their chunk, where documents are put together by place.
+2. The words, not the documents, are shuffled by bucket. All chunks' lists of a bucket meet in
+   one task, which keeps a table of the bucket's distinct words and merges each word's bytes
+   once; the table goes when the bucket ends.
+3. The ids return to their chunk, where documents are put together by place. The places were written
+   bucketed by chunk, so they stay where they are.
 
 Decoding looks ids up in the token-byte table, whose size is that of the vocabulary.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -22,18 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulyst.llm.common import BLANKS, DIGITS, LETTERS, Memo, file_bytes, is_latin, loaded, texts_of
-from tabulyst.session import stage
+from tabulyst.llm.common import BLANKS, DIGITS, LETTERS, file_bytes, is_latin, loaded, texts_of
+from tabulyst.session import staging_dir
 
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same with plain classes, for texts in Latin-1: twice as fast.
 LATIN = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{BLANKS}{LETTERS}{DIGITS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
 #: Pre-tokens of a chunk; a longer document is a chunk of its own.
-CHUNK = 2_000_000
+CHUNK = 500_000
 #: Pre-tokens whose places are packed into one row.
-SLICE = 250_000
-MEMO_WORDS = 400_000
+SLICE = 125_000
 
 CHUNKS = "chunk long, bucket int, words binary, lengths binary, slice int, doc_ids array<long>, counts array<int>, places binary, dealt binary"
 
@@ -125,33 +127,46 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _encoded_words(words: DataFrame, vocabulary: bytes) -> DataFrame:
-    """``chunk, bucket, ids, many``: the ids of a chunk's words and how many each has."""
+    """``chunk, bucket, ids, many``: the ids of a chunk's words and how many each has. ``words``
+    are in order of bucket, and all of a bucket in one partition."""
     key = zlib.crc32(vocabulary)
 
     def encode(batches):
         import zstandard
 
-        encoding, memo = loaded(("bpe", key), lambda: (_encoding(vocabulary), Memo(MEMO_WORDS)))
+        encoding = loaded(("bpe", key), lambda: _encoding(vocabulary))
+        bucket, table = None, {}  # the distinct words of the bucket: where their ids begin, and how many
         for batch in batches:
             ids, many = [], []
-            for blob, sizes in zip(batch.column("words").to_pylist(), batch.column("lengths").to_pylist(), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "words", "lengths"))
+            for own, blob, sizes in zip(*columns, strict=True):
+                if own != bucket:
+                    bucket, table = own, {}
                 data, ends = zstandard.ZstdDecompressor().decompress(blob), np.cumsum(_numbers(sizes)).tolist()
                 got, at = [], 0
-                memo.room(len(ends))
                 for end in ends:
                     word = data[at:end]
-                    if (some := memo.get(word)) is None:
-                        some = memo[word] = encoding.encode_ordinary(word.decode())
+                    if (some := table.get(word)) is None:
+                        some = table[word] = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
                     got.append(some)
                     at = end
-                many.append(_squeezed(np.fromiter(map(len, got), np.uint32, len(got))))
-                ids.append(_squeezed(np.array([x for some in got for x in some], np.uint32)))
+                many.append(_squeezed(np.fromiter(map(len, got), np.uint32, len(got)) // 4))
+                ids.append(_squeezed(np.frombuffer(b"".join(got), "<u4")))
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("bucket"), pa.array(ids, pa.binary()), pa.array(many, pa.binary())],
                                              ["chunk", "bucket", "ids", "many"])
 
     return words.mapInArrow(encode, "chunk long, bucket int, ids binary, many binary")
 
 
+def _bucketed(cut: DataFrame, buckets: int) -> DataFrame:
+    """``cut`` written once to the shared folder, in files by chunk: a join by chunk then
+    reads it in place. The table's name lasts as long as the session's catalog does."""
+    spark = cut.sparkSession
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
+    cut.write.bucketBy(buckets, "chunk").format("parquet").option("path", f"{staging_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def _together(slices: pa.Table, coded: pa.Table) -> pa.Table:
     """The documents of one chunk."""
     slices = slices.sort_by("slice")
@@ -185,9 +200,9 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = stage(_chunks(docs, buckets), "chunks")
+    cut = _bucketed(_chunks(docs, buckets), buckets)
     words = cut.filter("bucket is not null").select("chunk", "bucket", "words", "lengths")
-    coded = _encoded_words(words.repartition(buckets, "bucket"), file_bytes(vocabulary_path))
+    coded = _encoded_words(words.repartition(buckets, "bucket").sortWithinPartitions("bucket"), file_bytes(vocabulary_path))
     slices = cut.filter("slice is not null").select("chunk", "slice", "doc_ids", "counts", "places", "dealt")
     return slices.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(_together, "doc_id long, ids array<int>")
 

@@ -45,27 +45,33 @@ def file_bytes(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
-#: Per Python worker: tokenizers and memos, by what they were made from. Workers
-#: outlive tasks, so a vocabulary is parsed once and common words are encoded once.
+#: Per Python worker: the tokenizer and memos last used, by what they were made from. Workers
+#: outlive tasks, so a vocabulary is parsed once and common words are encoded once; what
+#: another operator left is dropped first.
 _LOADED: dict = {}
 
 
 def loaded(key, make):
     if key not in _LOADED:
+        _LOADED.clear()
         _LOADED[key] = make()
     return _LOADED[key]
 
 
 class Memo(dict):
-    """Encodings by piece of text; emptied when it holds ``most`` pieces."""
+    """Encodings by piece of text; emptied when it would hold over ``most`` pieces."""
 
     def __init__(self, most: int):
         super().__init__()
         self.most = most
 
-    def room(self, more: int) -> None:
-        if len(self) + more > self.most:
+    def missing(self, pieces: set) -> list:
+        """The pieces that the memo lacks; all of them, if it had to be emptied to make room."""
+        new = [p for p in pieces if p not in self]
+        if len(self) + len(new) > self.most:
             self.clear()
+            return list(pieces)
+        return new
 
 
 def spans_of(texts: list[str], most: int) -> Iterator[tuple[int, int]]:

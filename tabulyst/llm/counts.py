@@ -53,8 +53,7 @@ def piece_counts(texts: list[str], model, memo: Memo, apart: bool) -> list[int]:
         else:
             some.append((i, t.replace("\n", " \n").split(" ")))
     seen = {w for _, words in some for w in words}
-    memo.room(len(seen))
-    new = [w for w in seen if w not in memo]
+    new = memo.missing(seen)
     # a word after a line end has no space before it: the one put there is not counted,
     # but at the very start of a text, where the model puts one itself
     for w, ids in zip(new, model.encode(new, num_threads=1), strict=True):

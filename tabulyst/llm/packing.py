@@ -33,7 +33,7 @@ ROUNDS = 6
 #: A sequence with at most so many free places counts as full when pieces are exchanged.
 FULL_ENOUGH = 8
 #: Words whose ids a Python worker remembers.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -81,21 +81,21 @@ class WordEncoder:
         if not self.apart or not is_latin(part) or any(t in part for t in self.special):
             return _packed(self._whole(part))
         words, memo = self.split(part.lower()), self.words
+        out = []
         for word in words:
-            if word not in memo:
-                memo[word] = self._word(word)
-        return memo[words[0]] if len(words) == 1 else b"".join([memo[w] for w in words])
+            if (ids := memo.get(word)) is None:
+                if len(memo) >= memo.most:
+                    memo.clear()
+                ids = memo[word] = self._word(word)
+            out.append(ids)
+        return b"".join(out)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         memo, part = self.memo, self._part
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        for some in (memo, self.words):
-            some.room(sum(map(len, parts)))
-        for some in parts:
-            for p in set(some):
-                if p not in memo:
-                    memo[p] = part(p)
+        for p in memo.missing(set().union(*parts)):
+            memo[p] = part(p)
         return [b"".join(map(memo.__getitem__, some)) for some in parts]
 
 
