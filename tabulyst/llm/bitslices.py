@@ -147,8 +147,8 @@ def top_products(table: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each vector whose id is divisible by ``every``
     the ``k`` largest products with other rows, exactly; ties to the smaller id.
 
-    Null and empty vectors and those that hold null or a non-finite number take no part; zero
-    vectors do. Short vectors end in zeros. A row never answers its own id; with fewer than
+    Null vectors and those that hold null or a non-finite number take no part; zero and empty
+    vectors do. Short vectors end in zeros. Components are cut to 2^62, scores to a long. A row never answers its own id; with fewer than
     ``k`` others, all are returned. Repeated ids count as one, with their largest score. The
     query set meets all rows block by block; nothing is capped.
     """

@@ -20,8 +20,11 @@ from tabulyst.llm.common import loaded, mixed, spans_of, texts_of
 
 WIDTH = 512
 UNKNOWN = "und"
-#: Texts of so many characters with a lower cosine are in no known language.
-ENOUGH, LEAST_SCORE = 200, 0.25
+#: A text whose cosine is lower than this, or than texts with as many trigrams in a known
+#: language have by so many deviations, whichever is less, is in no known language.
+LEAST_SCORE, DEVIATIONS = 0.25, 5.0
+#: Training documents that a deviation is taken from, at least.
+TAUGHT = 30
 #: Characters worked on at once.
 BLOCK = 300_000
 #: Training vectors are summed as whole numbers of this fraction, in any order alike.
@@ -71,14 +74,20 @@ def _trigrams(texts: list[str], alphabet: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def document_vectors(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """A unit vector for each text (zero if it has no letter), and whether it has one."""
+    out, many = counted_vectors(texts, width)
+    return out, many > 0
+
+
+def counted_vectors(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """A unit vector for each text (zero if it has no letter), and its number of trigrams."""
     alphabet = loaded("alphabet", _alphabet)
-    out, some = np.zeros((len(texts), width), np.float32), np.zeros(len(texts), bool)
+    out, many = np.zeros((len(texts), width), np.float32), np.zeros(len(texts), np.int64)
     if not texts:
-        return out, some
+        return out, many
     letters, owner, key = _trigrams(texts, alphabet)
     if not len(key):
-        return out, some
-    some[owner] = True
+        return out, many
+    many = np.bincount(owner, minlength=len(texts))
     size, vectors = len(letters), letter_vectors(letters, width)
     grams, place = _numbered(key, size**3)
     first, second = np.roll(vectors, 2, axis=1), np.roll(vectors, 1, axis=1)
@@ -90,7 +99,7 @@ def document_vectors(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray,
         counts = np.bincount(owner[mine] * len(g) + place[mine] - a, minlength=len(texts) * len(g))
         out += counts.reshape(len(texts), len(g)).astype(np.float32) @ bound.astype(np.float32)
     length = np.linalg.norm(out.astype(np.float64), axis=1)
-    return (out / np.where(length > 0, length, 1)[:, None]).astype(np.float32), some
+    return (out / np.where(length > 0, length, 1)[:, None]).astype(np.float32), many
 
 
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -98,6 +107,16 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield a, b, *document_vectors(texts[a:b])
 
 
+def _counted(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    for a, b in spans_of(texts, BLOCK):
+        yield a, b, *counted_vectors(texts[a:b])
+
+
+def _size(many: np.ndarray) -> np.ndarray:
+    """Texts of one size have as many trigrams to within a factor of two."""
+    return np.where(many > 0, np.log2(np.maximum(many, 1)).astype(np.int64), -1)
+
+
 def prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
     """A unit vector for each language, from rows ``text, lang``; rows without a language
     or letters teach nothing. Each task sends one sum per language."""
@@ -145,20 +164,59 @@ def classified(docs: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(classify, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, known: dict[str, np.ndarray], least: float = LEAST_SCORE, letters: int = ENOUGH) -> DataFrame:
+def _table(known: dict[str, np.ndarray]) -> np.ndarray:
+    return np.array([known[n] for n in sorted(known)], np.float32).reshape(len(known), WIDTH)
+
+
+def least_scores(docs: DataFrame, known: dict[str, np.ndarray], least: float = LEAST_SCORE) -> np.ndarray:
+    """The least cosine of a text in a known language, by its size: the mean of the documents
+    with a language less DEVIATIONS times their deviation, and not over ``least``. A size with too few documents
+    takes the bar of the next larger one, lower by the root of two for each halving; sizes above
+    all that have enough take ``least``. Each task sends three sums per size."""
+    table = _table(known)
+
+    def measure(batches):
+        sums = np.zeros((3, 64))
+        for batch in batches:
+            for _, _, vectors, many in _counted(texts_of(batch)):
+                best, size = (vectors @ table.T).max(axis=1).astype(np.float64), _size(many)
+                some = size >= 0
+                for k in range(3):
+                    sums[k] += np.bincount(size[some], weights=best[some] ** k, minlength=64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(64, dtype=np.int32)), *(pa.array(x) for x in sums)], ["size", "n", "s", "q"])
+
+    out = np.full(64, least)
+    if not known:
+        return out
+    taught = docs.filter("text is not null and lang is not null").select(F.col("text").cast("string"))
+    # a task sends a row for each of 64 sizes
+    parts = taught.mapInArrow(measure, "size int, n double, s double, q double").groupBy("size").agg(*(F.sum(c).alias(c) for c in "nsq"))
+    found = {r["size"]: r for r in parts.collect()}
+    bar = None
+    for size in range(63, -1, -1):
+        r = found.get(size)
+        if r and r["n"] >= TAUGHT:
+            mean = r["s"] / r["n"]
+            bar = mean - DEVIATIONS * max(0.0, r["q"] / r["n"] - mean * mean) ** 0.5
+        elif bar is not None:
+            bar /= 2**0.5
+        out[size] = least if bar is None else min(least, bar)
+    return out
+
+
+def accepted(docs: DataFrame, known: dict[str, np.ndarray], bars: np.ndarray | None = None) -> DataFrame:
     """The rows of ``docs``, with all columns, that are in a known language: those without
-    letters go, and texts of ``letters`` characters or more whose cosine is under ``least``.
-    Short texts have low cosines in any language and stay."""
-    at, names = docs.columns.index("text"), sorted(known)
-    table = np.array([known[n] for n in names], np.float32).reshape(len(names), WIDTH)
+    letters go, and texts whose cosine is under the bar of their size (``least_scores``, of
+    ``docs`` if none are given)."""
+    bars = least_scores(docs, known) if bars is None else bars
+    at, table = docs.columns.index("text"), _table(known)
 
     def accept(batches):
         for batch in batches:
             texts, keep = texts_of(batch.rename_columns([f"c{i}" for i in range(batch.num_columns)]), f"c{at}"), []
-            for a, b, vectors, some in _blocks(texts):
-                best = (vectors @ table.T).max(axis=1) if names else np.ones(b - a)
-                short = np.fromiter(map(len, texts[a:b]), np.int64, b - a) < letters
-                keep += (some & (short | (best >= least))).tolist()
+            for a, b, vectors, many in _counted(texts):
+                best = (vectors @ table.T).max(axis=1) if len(table) else np.ones(b - a)
+                keep += ((many > 0) & (best >= bars[_size(many)])).tolist()
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(accept, docs.schema)

@@ -2,10 +2,10 @@
 
 Documents are encoded where they are read; only piece lengths and checksums travel.
 Pieces are dealt to partitions of bounded size by a row number's hash. Each partition
-runs best-fit decreasing and compares its number of sequences with the best bound that
-a family of dual feasible functions proves. A certified partition is done. The others
-keep their full sequences and put the pieces of those with free places into a pool, which
-is dealt anew to fewer partitions and packed again, as long as this saves sequences.
+runs best-fit decreasing, and a family of dual feasible functions bounds from below how
+many sequences all pieces need. While there are more, all partitions keep their full
+sequences and put the pieces of those with gaps into a pool, which is dealt anew to fewer
+partitions and packed again, as long as this saves sequences. The bound certifies the result.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import bisect
 import math
 import re
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,10 +29,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs at a time.
 PER_PART = 4096
-#: Rounds of exchange; each deals at most what the last left open.
-ROUNDS = 6
-#: A sequence with at most so many free places counts as full when pieces are exchanged.
-FULL_ENOUGH = 8
+#: Free places over which a sequence gives its pieces to the pool: first those with much room, then all.
+FLOORS = (8, 0)
 #: Words whose ids a Python worker remembers.
 MEMO_WORDS = 300_000
 
@@ -160,7 +159,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """No packing has fewer bins: the largest sum over two families of dual feasible
     functions. The first rounds lengths over ``capacity - e`` up and those under e down to
     nothing, for every e to half the capacity; the second rounds to multiples of 1/k."""
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """The bound from how many pieces have each length from 0 to ``capacity``."""
     x = np.arange(capacity + 1, dtype=np.int64)
     total, many = np.cumsum(counts * x), np.cumsum(counts)
     e = np.arange(0, capacity // 2 + 1)
@@ -174,64 +177,71 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def pack(lengths: DataFrame, capacity: int = CAPACITY, per_part: int = PER_PART, rounds: int = ROUNDS) -> DataFrame:
+def least_sequences(lengths: DataFrame, capacity: int = CAPACITY) -> int:
+    """The dual feasible bound over all pieces, from one count for each length."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for r in lengths.groupBy("length").agg(F.count("*").alias("n")).collect():
+        counts[r["length"]] = r["n"]
+    return bound_of_counts(counts, capacity)
+
+
+def pack(lengths: DataFrame, capacity: int = CAPACITY, per_part: int = PER_PART) -> DataFrame:
     """``lengths`` (a column ``length`` of 1 to ``capacity``, any others) with
     ``sequence_id`` and ``offset``. Each sequence is filled without gaps from offset 0.
     An empty table gives an empty result. Ties break by row number, so a packing of the
     same staged rows repeats."""
     names = lengths.columns
     rows = stage(lengths.withColumn("_uid", F.monotonically_increasing_id()), "pieces")
-    schema = f"{rows.schema.simpleString()[7:-1].replace(':', ' ')}, sequence_id long, offset long, _free long, _open boolean, _bound long, _first boolean"
+    schema = f"{rows.schema.simpleString()[7:-1].replace(':', ' ')}, sequence_id long, offset long, _free long, _first boolean"
 
     def packing(number: int):
         def run(part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values("_uid", kind="stable")
             size = part["length"].to_numpy(np.int64)
             bins = best_fit(size, capacity)
-            bound = lower_bound(size, capacity)
             load = np.bincount(bins, weights=size).astype(np.int64)
             order = np.lexsort((part["_uid"].to_numpy(), bins))
             out, size, bins = part.iloc[order].drop(columns="_part"), size[order], bins[order]
             new = np.r_[True, bins[1:] != bins[:-1]]
             before = np.cumsum(size) - size
-            free = capacity - load[bins]
             return out.assign(
                 sequence_id=(number << 56) + (int(part["_part"].iloc[0]) << 24) + bins,
-                offset=before - np.maximum.accumulate(np.where(new, before, 0)), _free=free,
-                _open=(len(load) > bound) & (free > FULL_ENOUGH), _bound=np.where(np.arange(len(size)) == 0, bound, 0), _first=new,
+                offset=before - np.maximum.accumulate(np.where(new, before, 0)), _free=capacity - load[bins], _first=new,
             )
 
         return run
 
-    done, pool, count, bins_before = [], rows, rows.count(), None
-    for number in range(rounds):
-        parts = max(1, math.ceil(count / per_part))
-        dealt = pool.withColumn("_part", F.pmod(F.xxhash64("_uid", F.lit(number)), F.lit(parts)))
-        packed = stage(dealt.groupBy("_part").applyInPandas(packing(number), schema), "packed")
-        used = packed.agg(F.count_if("_first").alias("bins"), F.count_if("_open").alias("open"), F.count_if(F.col("_open") & F.col("_first")).alias("open_bins")).first()
-        if bins_before is not None and used["bins"] >= bins_before:
-            done.append(previous)  # the exchange saved nothing
-            break
-        if not used["open"] or parts == 1 or number == rounds - 1:
-            done.append(packed)
-            break
-        done.append(packed.filter("not _open"))
-        previous = packed.filter("_open")
-        pool, count, bins_before = previous.select(*rows.columns), used["open"], used["open_bins"]
-    result = done[0]
-    for more in done[1:]:
-        result = result.unionByName(more)
-    return result.select(*names, "sequence_id", "offset")
+    def packed(pool: DataFrame, count: int, number: int) -> tuple[DataFrame, int]:
+        dealt = pool.withColumn("_part", F.pmod(F.xxhash64("_uid", F.lit(number)), F.lit(max(1, math.ceil(count / per_part)))))
+        found = stage(dealt.groupBy("_part").applyInPandas(packing(number), schema), "packed")
+        return found, found.agg(F.count_if("_first").alias("n")).first()["n"]
+
+    bound, number = least_sequences(rows, capacity), 0
+    first, bins = packed(rows, rows.count(), number)
+    kept = [first]
+    for floor in FLOORS:
+        while bins > bound:
+            pool = reduce(DataFrame.unionByName, [k.filter(F.col("_free") > floor) for k in kept])
+            open_ = pool.agg(F.count("*").alias("pieces"), F.count_if("_first").alias("bins")).first()
+            if open_["bins"] < 2:
+                break
+            number += 1
+            again, used = packed(pool.select(*rows.columns), open_["pieces"], number)
+            if used >= open_["bins"]:
+                break  # the exchange saved nothing
+            kept = [k.filter(F.col("_free") <= floor) for k in kept] + [again]
+            bins -= open_["bins"] - used
+    return reduce(DataFrame.unionByName, kept).select(*names, "sequence_id", "offset")
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: the sequences used, the pieces' total length and the least number of
-    sequences that it takes, and the sequences with free places."""
+    """One row: the sequences used, the pieces' total length, the dual feasible bound (no
+    packing has fewer sequences than ``at_least``) and the sequences with free places."""
+    bound = least_sequences(packed, capacity)
     loads = packed.groupBy("sequence_id").agg(F.sum("length").alias("load"))
     return loads.agg(
         F.count("*").alias("sequences"), F.coalesce(F.sum("load"), F.lit(0)).alias("total"),
-        F.coalesce(F.ceil(F.sum("load") / capacity), F.lit(0)).alias("at_least"),
-        F.count_if(F.col("load") < capacity).alias("with_gaps"),
+        F.lit(bound).cast("long").alias("at_least"), F.count_if(F.col("load") < capacity).alias("with_gaps"),
     )
 
 

@@ -72,11 +72,11 @@ OP10_SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e
   from embeddings
-  where vec_id is not null and len(embedding) > 0
+  where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
 s as (
   select q.vec_id as query_id, c.vec_id,
-    cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) as score
+    cast(coalesce(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])), 0) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
 r as (
   select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 
 def valid(table: DataFrame, zero: bool) -> DataFrame:
-    """``vec_id, v`` (doubles) of rows with an id whose vectors are not null or empty and
-    hold no null, NaN or infinity; all-zero vectors only if ``zero``."""
+    """``vec_id, v`` (doubles) of rows with an id whose vectors are not null and hold no null,
+    NaN or infinity; all-zero vectors only if ``zero``. An empty vector is one zero."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = table.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).filter(~bad)
+    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).filter(~bad)
+    rows = rows.withColumn("v", F.when(F.size("v") > 0, F.col("v")).otherwise(F.array(F.lit(0.0))))
     return rows if zero else rows.filter(F.exists("v", lambda x: x != 0))
 
 
