@@ -28,14 +28,15 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words a shingle, similarity 0.8.
-    Rows repeated as a whole stay once; rows without an id stay."""
+    """One document of each group of near copies: five words a shingle, similarity 0.8. Rows are
+    told apart by a number of their own, as doc_ids may be null or repeat; rows repeated as
+    a whole are copies. Texts without words stay."""
     ship(spark)
-    found = neardup.near_duplicates(docs)
-    gone = stage(found.filter("not kept").select("doc_id").distinct(), "gone")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named = left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(left.filter("doc_id is null"))
+    row = next(name for i in range(len(docs.columns) + 1) if (name := f"row_{i}") not in docs.columns)
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = neardup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    gone = stage(found.filter("not kept").select(F.col("doc_id").alias(row)), "gone")
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
