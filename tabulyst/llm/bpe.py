@@ -33,9 +33,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: The same with plain classes, for texts in Latin-1: twice as fast.
 LATIN = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{BLANKS}{LETTERS}{DIGITS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
 #: Pre-tokens of a chunk; a longer document is a chunk of its own.
-CHUNK = 500_000
+CHUNK = 1_000_000
 #: Pre-tokens whose places are packed into one row.
-SLICE = 125_000
+SLICE = 250_000
 
 CHUNKS = "chunk long, bucket int, words binary, lengths binary, slice int, doc_ids array<long>, counts array<int>, places binary, dealt binary"
 
