@@ -13,6 +13,8 @@ from tabulyst.config import AnalysisConfig
 from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
 from tabulyst.operators import roles as R
+from tabulyst.operators.distinct import distinct_facts
+from tabulyst.operators.heavy import proven_top
 from tabulyst.operators.selection import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
@@ -117,18 +119,6 @@ def _named(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("position") + 1)
 
 
-def distinct_from_counts(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return (
-        counts.groupBy("position")
-        .agg(
-            F.sum("count").alias("n_rows"),
-            F.sum(F.when(_absent(), F.col("count")).otherwise(0)).alias("n_missing"),
-            F.count_if(~_absent()).alias("n_unique"),
-        )
-        .select("position", _named(counts, columns).alias("name"), "n_rows", "n_missing", "n_unique")
-    )
-
-
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """(position, name, n_unique), nulls not counted; exact unless asked otherwise."""
     columns = list(columns)
@@ -137,8 +127,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
             *[F.approx_count_distinct(col(c), 0.01).alias(f"d{i}") for i, c in enumerate(columns)]
         )
         return by_column(found, columns, {"n_unique": "d"})
-    counts = value_counts(df, columns, _long_texts(df, columns))
-    return distinct_from_counts(counts, columns).select("position", "name", "n_unique")
+    return distinct_facts(df, columns, _long_texts(df, columns)).select("position", "name", "n_unique")
 
 
 def _long_texts(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -168,10 +157,15 @@ def top_values(
 ) -> DataFrame:
     """(name, rank, value, count); missing values count as a value unless left out."""
     columns = list(columns)
-    counts = value_counts(df, columns)
+    proven, rest = proven_top(df, columns, k, keep_missing)
+    rows = [(c, i + 1, v, n) for c, first in proven.items() for i, (v, n) in enumerate(first)]
+    known = df.sparkSession.createDataFrame(rows, "name string, rank int, value string, count long")
+    if not rest:
+        return known
+    counts = value_counts(df, rest)
     if not keep_missing:
         counts = counts.where(~_absent())
-    return top_from_counts(counts, columns, k)
+    return known.unionByName(top_from_counts(counts, rest, k))
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
@@ -204,7 +198,7 @@ def column_profile(
     if cfg.approximate_distinct:
         base = _sketched_counts(df, columns)
     else:
-        base = distinct_from_counts(value_counts(df, columns, texts), columns)
+        base = distinct_facts(df, columns, texts)
     dtypes = dict(df.dtypes)
     facts = F.element_at(
         F.array(*[
