@@ -457,6 +457,7 @@ def oracle_queries() -> dict[str, str]:
                 ("l_returnflag", "sum(octet_length(encode(l_returnflag)))"), ("l_linestatus", "sum(octet_length(encode(l_linestatus)))"),
                 ("l_shipdate", "count(l_shipdate)*8")])],
         ]),
+        "first_rows_in_order": "select o_custkey, o_orderkey, o_totalprice from orders order by o_custkey, o_orderkey limit 700",
         "load_facts": "select 'lineitem.parquet' as filename, count(*) as loaded_rows, 11 as loaded_cols from lineitem",
         "dedup_rows": f"""{WITH_REPEATED} select trip_key, leg, payment_type, round(fare,6) as fare, round(trip_seconds,6) as trip_seconds
           from (select distinct * from rep)""",

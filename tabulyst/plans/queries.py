@@ -19,7 +19,7 @@ from tabulyst.operators import summaries as sm
 from tabulyst.plans.tables import plan_replies, repeated_trips, replies as reply_table, table, trips, wide_trips
 from tabulyst.session import staging_dir
 from tabulyst.sources import extract, sinks
-from tabulyst.sources.readers import load_metadata, read_csv, read_part
+from tabulyst.sources.readers import load_metadata, read_csv, read_parquet, read_part
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -582,6 +582,15 @@ def first_n_extract(spark, folder):
     return extract.first_n(table(spark, folder, "orders"), 1000, ["o_orderkey"])
 
 
+@query
+def first_rows_in_order(spark, folder):
+    """The first rows of a folder of several files, in file order."""
+    path = f"{staging_dir(spark)}/files-{_token()}"
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    orders.repartitionByRange(7, "o_custkey", "o_orderkey").sortWithinPartitions("o_custkey", "o_orderkey").write.parquet(path)
+    return read_parquet(spark, path, 700)
+
+
 @query
 def csv_roundtrip(spark, folder):
     """A table written as CSV and read back with types and gaps inferred."""

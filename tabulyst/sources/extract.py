@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulyst.functions.scalars import col
+from tabulyst.sources.positions import first_rows
 
 
 def year_rows(df: DataFrame, time_column: str, year: int) -> DataFrame:
@@ -29,6 +30,6 @@ def newest_page(
 
 
 def first_n(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:
-    """The first n rows that are not blank, by key when an order is given."""
+    """The first n rows that are not blank, by key when an order is given, else in file order."""
     filled = df.where(F.coalesce(*[col(c).cast("string") for c in df.columns]).isNotNull())
-    return (filled.orderBy(*[col(c) for c in order]) if order else filled).limit(n)
+    return filled.orderBy(*[col(c) for c in order]).limit(n) if order else first_rows(filled, n)

@@ -8,13 +8,16 @@ from pyspark.sql import types as T
 
 from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
+from tabulyst.sources.positions import Reread, first_rows
 
 # The spellings a CSV column of truth values may use.
 TRUTH_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
 def read_parquet(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    return first_rows(S.nan_to_null(spark.read.parquet(path)), max_rows)
+    df = spark.read.parquet(path)
+    again = spark.read.schema(df.schema).option("basePath", path)
+    return _capped(S.nan_to_null(df), max_rows, lambda files: S.nan_to_null(again.parquet(*files)))
 
 
 def read_csv(
@@ -26,17 +29,17 @@ def read_csv(
     aggregation finds the narrowest type each column fits. ``multiline`` is for
     quoted line breaks and makes a file unsplittable, so it is off by default.
     """
-    raw = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    raw = reader.csv(path)
+    again = reader.schema(raw.schema).option("basePath", path)
     # a cap comes before inference: the capped rows are the table
-    text = first_rows(null_tokens(raw), max_rows)
+    text = _capped(null_tokens(raw), max_rows, lambda files: null_tokens(again.csv(files)))
     return S.nan_to_null(infer_types(text))
 
 
-def first_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
-    return df if max_rows is None else df.limit(max_rows)
+def _capped(df: DataFrame, max_rows: int | None, reread: Reread) -> DataFrame:
+    """The whole table, or its first rows in file order."""
+    return df if max_rows is None else first_rows(df, max_rows, reread)
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
