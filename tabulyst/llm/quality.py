@@ -29,6 +29,8 @@ SAMPLE = 12_000
 #: Hash buckets, and the training texts that must have one.
 BUCKETS, SUPPORT = 1 << 20, 20
 STEPS, RATE, PENALTY = 200, 0.1, 1e-3
+#: Entries of the sample that are worked on at once.
+CHUNK = 1 << 20
 #: Bytes of a word's beginning; the scale of shapes against words.
 BEGINNING, SCALE = 5, 3.0
 #: Documents whose probability of a good grade is lower are not selected.
@@ -109,15 +111,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def _summed(place: np.ndarray, size: int, weights) -> np.ndarray:
+    """Sums of ``weights(part)`` by place, for parts of CHUNK entries."""
+    out = np.zeros(size)
+    for a in range(0, len(place), CHUNK):
+        part = slice(a, a + CHUNK)
+        out += np.bincount(place[part], weights=weights(part), minlength=size)
+    return out
+
+
 def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarray) -> Model:
-    """Maximum likelihood with a quadratic penalty, by Adam over the whole sample."""
+    """Maximum likelihood with a quadratic penalty, by Adam over the whole sample. Entries are
+    kept in 12 bytes each and widened part by part."""
     n, top = len(grade), GRADES - 1
-    support = np.bincount(bucket, minlength=BUCKETS)
+    support = _summed(bucket, BUCKETS, lambda part: None)
     used = np.flatnonzero(support >= SUPPORT)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    keep = place[bucket] >= 0
-    row, col, value = row[keep], place[bucket[keep]], value[keep].astype(np.float64)
+    col = place[bucket]
+    keep = col >= 0
+    row, col, value = row[keep].astype(np.int32), col[keep], value[keep].astype(np.float32)
     share = np.array([np.clip((grade >= k).mean(), 1e-3, 1 - 1e-3) for k in range(1, GRADES)])
     start = np.log(share / (1 - share))
     # the first bias, and the logarithms of the falls to the next ones
@@ -126,7 +139,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarra
     for t in range(1, STEPS + 1):
         w, b0, falls = p[: len(used)], p[len(used)], np.exp(p[len(used) + 1 :])
         biases = b0 - np.concatenate([[0], np.cumsum(falls)])
-        eta = np.bincount(row, weights=value * w[col], minlength=n)
+        eta = _summed(row, n, lambda part: value[part] * w[col[part]])
         tail = np.concatenate([np.ones((n, 1)), _sigmoid(eta[:, None] + biases), np.zeros((n, 1))], axis=1)
         at = np.arange(n)
         low, high = tail[at, grade], tail[at, grade + 1]
@@ -137,7 +150,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarra
         np.add.at(g_bias, grade[grade > 0] - 1, (-slope_low / chance / n)[grade > 0])
         np.add.at(g_bias, grade[grade < top], (slope_high / chance / n)[grade < top])
         g = np.concatenate([
-            np.bincount(col, weights=value * g_eta[row], minlength=len(used)) + PENALTY * w,
+            _summed(col, len(used), lambda part: value[part] * g_eta[row[part]]) + PENALTY * w,
             [g_bias.sum()], -falls * np.cumsum(g_bias[::-1])[::-1][1:],
         ])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -178,10 +191,13 @@ def train(docs: DataFrame, rated: DataFrame, sample: int = SAMPLE) -> Model | No
     got = some.mapInArrow(extract, "grade int, buckets array<int>, values array<float>").limit(sample).toArrow()
     if not got.num_rows or len(set(got.column("grade").to_pylist())) < 2:
         return None
-    count = got.column("buckets").combine_chunks()
-    size = count.value_lengths().to_numpy()
-    values = got.column("values").combine_chunks().flatten().to_numpy()
-    return fit(np.repeat(np.arange(len(size)), size), count.flatten().to_numpy().astype(np.int64), values, got.column("grade").to_numpy().astype(np.int64))
+    grade = got.column("grade").to_numpy().astype(np.int64)
+    size = np.concatenate([c.value_lengths().to_numpy() for c in got.column("buckets").chunks])
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    bucket = np.concatenate([c.flatten().to_numpy() for c in got.column("buckets").chunks])
+    value = np.concatenate([c.flatten().to_numpy() for c in got.column("values").chunks])
+    del got
+    return fit(row, bucket, value, grade)
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
