@@ -32,7 +32,7 @@ PER_PART = 4096
 #: Free places over which a sequence gives its pieces to the pool: first those with much room, then all.
 FLOORS = (8, 0)
 #: Words whose ids a Python worker remembers.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
