@@ -85,6 +85,23 @@ def row_hash(df: DataFrame, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[col(c) for c in usable]), 11)
 
 
+def key_digest(keys: Sequence[str], seed: int) -> Column:
+    """A digest of a row's key that other systems can recompute: md5 of the seed and the key's
+    columns as texts, with bars between."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(c).cast("string") for c in keys]))
+
+
+def split_by_key(df: DataFrame, keys: Sequence[str], seed: int = AnalysisConfig.random_seed) -> DataFrame:
+    """Adds ``is_test``, true for the fifth of the rows whose key's digest begins lowest: rows
+    with one key stay together, whatever else changes."""
+    return df.withColumn("is_test", key_digest(keys, seed) < F.lit(f"{int(TEST_SHARE * 16**8):08x}"))
+
+
+def sample_by_key(df: DataFrame, n: int, keys: Sequence[str], seed: int = AnalysisConfig.random_seed) -> DataFrame:
+    """The n rows whose keys' digests are lowest: a random sample that can be recomputed."""
+    return df.withColumn("__digest", key_digest(keys, seed)).orderBy("__digest", *[col(c) for c in keys]).limit(n).drop("__digest")
+
+
 def split_rows(
     df: DataFrame, seed: int = AnalysisConfig.random_seed, stratify: str | None = None
 ) -> DataFrame:
@@ -164,25 +181,27 @@ class Fitted:
 
 
 def fit_baseline(
-    df: DataFrame, target: str, cfg: AnalysisConfig = AnalysisConfig()
+    df: DataFrame, target: str, cfg: AnalysisConfig = AnalysisConfig(), keys: Sequence[str] = ()
 ) -> Fitted:
-    """Fit on four fifths, score on the rest; problems are recorded, not raised."""
+    """Fit on four fifths, score on the rest; problems are recorded, not raised. With ``keys``
+    these columns decide the split, and are no features."""
     if target not in df.columns:
         return Fitted({"enabled": False, "target": target, "error": f"target column not found: {target}"})
     try:
-        return _fit(df, target, cfg)
+        return _fit(df, target, cfg, keys)
     except Exception as problem:  # the record carries the reason
         return Fitted({"enabled": False, "target": target, "error": repr(problem)})
 
 
-def _fit(df: DataFrame, target: str, cfg: AnalysisConfig) -> Fitted:
+def _fit(df: DataFrame, target: str, cfg: AnalysisConfig, keys: Sequence[str]) -> Fitted:
+    plain = df.drop(*keys)
     # the bound on the target is the larger one: it decides the task and the strata
     numeric_target = S.is_numeric(df.schema[target].dataType)
-    texts = _texts(df, target)
+    texts = _texts(plain, target)
     bounds = dict.fromkeys(texts, MAX_LEVELS)
     bounds[target] = R.CLASS_LIMIT if numeric_target else MAX_CLASSES
     levels = distinct_up_to(df, [*texts, target], bounds)
-    m = model_matrix(df, target, levels=levels)
+    m = model_matrix(plain, target, levels=levels)
     if not (m.numeric or m.categorical):
         raise ValueError("no usable features")
     classes = levels[target]
@@ -193,7 +212,7 @@ def _fit(df: DataFrame, target: str, cfg: AnalysisConfig) -> Fitted:
     if not regression and classes is None:
         raise ValueError(f"more than {MAX_CLASSES} classes in {target}")
     stratify = "y" if classes is not None and classes <= MAX_STRATA else None
-    split = split_rows(data, cfg.random_seed, stratify)
+    split = split_by_key(data, keys, cfg.random_seed) if keys else split_rows(data, cfg.random_seed, stratify)
     train_rows = split.where(~F.col("is_test"))
     prepared = _prepared(split, m, train_rows)
     train = prepared.where(~F.col("is_test"))

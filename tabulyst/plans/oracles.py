@@ -316,6 +316,71 @@ def _wide_pairs() -> str:
       rows as (select unnest(p) as s from one) select s.x as x, s.y as y, cast(s.n as bigint) as n, s.r as r from rows"""
 
 
+_TEST = "md5('42|' || cast(trip_key as varchar) || '|' || cast(leg as varchar)) < '33333333'"
+
+
+def _regression_checked() -> str:
+    """A linear fit on the rows whose key's digest isn't low, scored on the others."""
+    levels = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    dummies = [f"d{i}" for i in range(1, 5)]
+    columns = ["tips", "trip_miles", "fare", *dummies]
+    cases = ", ".join(f"case when payment_type = '{v}' then 1e0 else 0e0 end as d{i}" for i, v in enumerate(levels) if i)
+    guess = " + ".join(f"(select coef from coefficients where term = '{c}') * {c}" for c in columns)
+    fit = _ols("select * from ready where not test", columns, "trip_seconds", columns, f"""{WITH_TRIPS},
+      known as (select *, {_TEST} as test from trips where trip_seconds is not null),
+      middle as (select quantile_cont(tips, 0.5) as tip from known where not test),
+      often as (select payment_type as pay from known where not test and payment_type is not null group by 1 order by count(*) desc, 1 limit 1),
+      filled as (select trip_seconds, trip_miles, fare, test, coalesce(tips, tip) as tips, coalesce(payment_type, pay) as payment_type from known, middle, often),
+      ready as (select *, {cases} from filled),""")
+    return f"""{fit}, guessed as (select trip_seconds as y, (select coef from coefficients where term = 'const') + {guess} as p from ready where test)
+      select true as enabled, 'regression' as task_type, 'LinearRegression' as model_name,
+        (select count(*) from known where not test) as n_train, count(*) as n_test,
+        printf('%.4e', 1e0 - sum(power(y-p, 2)) / (var_pop(y) * count(*))) as r2, printf('%.4e', avg(abs(y-p))) as mae from guessed"""
+
+
+def _classification_checked(steps: int = 10) -> str:
+    """Newton's steps for a logistic fit with a penalty of one half of the squared slopes."""
+    parts = ["""src as (select l_quantity as x1, l_discount as x2,
+      case when l_quantity + 300e0*l_discount + (l_orderkey*7+l_partkey*13)%40 > 60 then 1e0 else 0e0 end as y,
+      md5('42|' || cast(l_orderkey as varchar) || '|' || cast(l_linenumber as varchar)) < '33333333' as test from lineitem)""",
+             "b0 as (select 0e0 as c, 0e0 as w1, 0e0 as w2)"]
+    for t in range(1, steps + 1):
+        parts.append(f"""s{t} as materialized (select any_value(c) as c, any_value(w1) as w1, any_value(w2) as w2,
+          sum(y-p) as g0, sum((y-p)*x1) - any_value(w1) as g1, sum((y-p)*x2) - any_value(w2) as g2,
+          sum(p*(1-p)) as a, sum(p*(1-p)*x1) as b, sum(p*(1-p)*x2) as d, sum(p*(1-p)*x1*x1) + 1 as e,
+          sum(p*(1-p)*x1*x2) as f, sum(p*(1-p)*x2*x2) + 1 as h
+          from (select *, 1e0/(1e0+exp(-(c+w1*x1+w2*x2))) as p from src, b{t-1} where not test))""")
+        parts.append(f"""b{t} as materialized (select
+          c + (g0*(e*h-f*f) - b*(g1*h-f*g2) + d*(g1*f-e*g2))/z as c,
+          w1 + (a*(g1*h-f*g2) - g0*(b*h-f*d) + d*(b*g2-g1*d))/z as w1,
+          w2 + (a*(e*g2-g1*f) - b*(b*g2-g1*d) + g0*(b*f-e*d))/z as w2
+          from (select *, a*(e*h-f*f) - b*(b*h-f*d) + d*(b*f-e*d) as z from s{t}))""")
+    return f"""with {", ".join(parts)},
+      g as (select y as a, case when c+w1*x1+w2*x2 > 0 then 1e0 else 0e0 end as b from src, b{steps} where test),
+      k as (select unnest([0e0, 1e0]) as k),
+      f as (select k, (select count(*) from g where a=k and b=k) as h, (select count(*) from g where a=k) as n,
+        (select count(*) from g where b=k) as m from k)
+      select true as enabled, 'classification' as task_type, 'LogisticRegression' as model_name,
+        (select count(*) from src where not test) as n_train, (select count(*) from g) as n_test,
+        round(sum(h)*1e0/sum(n),6) as accuracy, round(avg(2e0*h/(n+m)),6) as f1 from f"""
+
+
+def _design_selection() -> str:
+    """Constants and near copies of an earlier column go, then all but the 30 nearest to the price."""
+    of = {f"d{k}": f"cast((l_orderkey*{k + 3}+l_partkey*{2 * k + 1})%{101 + k} as double)*{900 + 40 * ((k * 7) % 36)}e0 + l_extendedprice" for k in range(36)}
+    of |= {"c1": "7e0", "c2": "1e0", "copy": of["d2"], "multiple": f"3e0*({of['d4']})"}
+    columns = ", ".join(f"{sql} as {c}" for c, sql in of.items())
+    spread = ", ".join(f"{{'c': '{c}', 'i': {i}, 'v': var_samp({c}), 'r': abs(case when var_samp({c}) > 0 then corr({c}, l_extendedprice) end)}}" for i, c in enumerate(of))
+    varying = [(i, c) for i, c in enumerate(of) if c not in ("c1", "c2")]
+    near = ", ".join(f"{{'j': {j}, 'r': abs(corr({a}, {b}))}}" for i, a in varying for j, b in varying if i < j)
+    return f"""with wide as (select l_extendedprice, {columns} from lineitem),
+      one as (select [{spread}] as s, [{near}] as n from wide),
+      cols as (select x.c as c, x.i as i, x.v as v, x.r as r from (select unnest(s) as x from one)),
+      near as (select distinct x.j as j from (select unnest(n) as x from one) where x.r > 0.9999),
+      kept as (select * from cols where v > 0 and i not in (select j from near))
+      select cast(row_number() over (order by r desc, i) - 1 as int) as place, c as term from (select * from kept order by r desc, i limit 30)"""
+
+
 def _findings() -> str:
     rates = _unpivot(TRIP_COLUMNS, "{i} as position, '{c}' as name, avg(case when {c} is null then 1e0 else 0e0 end) as missing_rate", "rep")
     t = FINDING_TEXTS
@@ -537,6 +602,11 @@ def oracle_queries() -> dict[str, str]:
           c as (select a as k from g union select b from g),
           s as (select k, (select count(*) from g where a=k and b=k) as h, (select count(*) from g where a=k) as n, (select count(*) from g where b=k) as m from c)
           select round(sum(h)*1e0/sum(n),6) as accuracy, round(avg(2e0*h/(n+m)),6) as f1 from s""",
+        "regression_checked": _regression_checked(),
+        "classification_checked": _classification_checked(),
+        "design_selection": _design_selection(),
+        "random_sample_rows": f"""{WITH_TRIPS} select trip_key, leg, payment_type, round(fare,6) as fare from trips
+          order by md5('42|' || cast(trip_key as varchar) || '|' || cast(leg as varchar)), trip_key, leg limit 5000""",
         "training_fills": f"""{WITH_TRIPS}
           select 'tips' as name, printf('%.4f', quantile_cont(tips,0.5)) as fill from trips
           union all select 'trip_seconds', printf('%.4f', quantile_cont(trip_seconds,0.5)) from trips

@@ -16,7 +16,7 @@ from tabulyst.operators import findings as fnd
 from tabulyst.operators import roles as R
 from tabulyst.operators import stat_tests as st
 from tabulyst.operators import summaries as sm
-from tabulyst.plans.tables import plan_replies, repeated_trips, replies as reply_table, table, trips, wide_trips
+from tabulyst.plans.tables import plan_replies, repeated_trips, replies as reply_table, table, trips, wide_design, wide_trips
 from tabulyst.session import staging_dir
 from tabulyst.sources import extract, sinks
 from tabulyst.sources.readers import load_metadata, read_csv, read_parquet, read_part
@@ -477,6 +477,44 @@ def random_sample(spark, folder):
     return cleaning.duplicate_count(sample)
 
 
+@query
+def random_sample_rows(spark, folder):
+    """The rows of a random sample that their keys' digests choose."""
+    sample = model.sample_by_key(trips(spark, folder), 5000, ["trip_key", "leg"])
+    return rounded(sample.select("trip_key", "leg", "payment_type", "fare"))
+
+
+@query
+def regression_checked(spark, folder):
+    """A linear baseline on rows split by their keys' digests: gaps filled and categories encoded
+    by the training rows, scored on the others."""
+    df = trips(spark, folder).select("trip_key", "leg", "tips", "trip_miles", "fare", "payment_type", "trip_seconds")
+    found = model.fit_baseline(df, "trip_seconds", keys=["trip_key", "leg"]).frame(spark)
+    return found.select("enabled", "task_type", "model_name", "n_train", "n_test",
+                        _significant(F.col("r2"), 5).alias("r2"), _significant(F.col("mae"), 5).alias("mae"))
+
+
+@query
+def classification_checked(spark, folder):
+    """A logistic baseline on rows split by their keys' digests, scored on the others."""
+    noise = "(l_orderkey * 7 + l_partkey * 13) % 40"
+    df = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+        f"case when l_quantity + 300D * l_discount + {noise} > 60 then 'high' else 'low' end as size")
+    found = model.fit_baseline(df, "size", keys=["l_orderkey", "l_linenumber"]).frame(spark)
+    return rounded(found.select("enabled", "task_type", "model_name", "n_train", "n_test", "accuracy", "f1"))
+
+
+@query
+def design_selection(spark, folder):
+    """What is left of a design of 40 columns: constants and near copies go, and all but the
+    30 that correlate most with the target."""
+    df = wide_design(spark, folder)
+    design = {c: F.col(c) for c in df.columns if c != "l_extendedprice"}
+    kept = diagnostics.select_features(diagnostics.design_moments(df, design, "l_extendedprice"))
+    return spark.createDataFrame([(i, t) for i, t in enumerate(kept.terms)], "place int, term string")
+
+
 @query
 def train_test_split(spark, folder):
     """Rows per class on each side of the stratified split."""

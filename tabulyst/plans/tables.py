@@ -64,6 +64,17 @@ def wide_trips(spark: SparkSession, folder: str, metrics: Sequence[str]) -> Data
     return trips(spark, folder).selectExpr(*(f"{sql} as {name}" for name, sql in columns))
 
 
+def wide_design(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as a price and 40 columns: 36 that follow it more or less, two constants, a
+    copy of the third and a multiple of the fifth."""
+    columns = [
+        f"cast((l_orderkey * {k + 3} + l_partkey * {2 * k + 1}) % {101 + k} as double) * {900 + 40 * ((k * 7) % 36)}D + l_extendedprice as d{k}"
+        for k in range(36)
+    ]
+    return table(spark, folder, "lineitem").selectExpr("l_extendedprice", *columns, "7D as c1", "cast(null is null as double) as c2",
+                                                       f"{columns[2].rsplit(' as ', 1)[0]} as copy", f"3D * ({columns[4].rsplit(' as ', 1)[0]}) as multiple")
+
+
 def repeated_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips with their first legs a second time."""
     copies = F.expr("explode(array_repeat(0, case when leg = 1 then 2 else 1 end))")
