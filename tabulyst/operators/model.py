@@ -19,6 +19,7 @@ from tabulyst.functions.scalars import col
 from tabulyst.operators import profile as P
 from tabulyst.operators import roles as R
 from tabulyst.operators.selection import distinct_up_to, exact_quantiles
+from tabulyst.session import stage
 
 # Sizes of the baseline model.
 TEST_SHARE = 0.2
@@ -214,10 +215,11 @@ def _fit(df: DataFrame, target: str, cfg: AnalysisConfig, keys: Sequence[str]) -
     stratify = "y" if classes is not None and classes <= MAX_STRATA else None
     split = split_by_key(data, keys, cfg.random_seed) if keys else split_rows(data, cfg.random_seed, stratify)
     train_rows = split.where(~F.col("is_test"))
-    prepared = _prepared(split, m, train_rows)
+    # written once: encoders, fit and scores scan it many times
+    prepared = stage(_prepared(split, m, train_rows), "prepared")
     train = prepared.where(~F.col("is_test"))
     test = prepared.where(F.col("is_test"))
-    sizes = split.agg(F.count_if("is_test").alias("test"), F.count("*").alias("all")).first()
+    sizes = prepared.agg(F.count_if("is_test").alias("test"), F.count("*").alias("all")).first()
     n_test, n_train = sizes["test"], sizes["all"] - sizes["test"]
     stages = _encoder(m)
     if regression:
