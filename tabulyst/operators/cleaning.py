@@ -15,6 +15,7 @@ from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
 from tabulyst.operators import roles as R
 from tabulyst.operators.copies import COPIES, counted_rows, distinct_rows, row_counts
+from tabulyst.operators.dates import learn_formats, read_times
 from tabulyst.operators.selection import exact_quantiles
 
 # The label of a filled category and the words of the log.
@@ -96,10 +97,11 @@ def _without(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def conversions(df: DataFrame, roles: dict[str, str]) -> dict[str, tuple[str, Column]]:
     """Casts that bring text columns to their role: column -> (kind, expression)."""
     out = {}
+    formats = learn_formats(df, [f.name for f in df.schema if roles.get(f.name) == R.DATETIME and S.is_text(f.dataType)])
     for f in df.schema:
         role = roles.get(f.name)
         if role == R.DATETIME and not S.is_time(f.dataType):
-            out[f.name] = ("datetime", S.to_time(col(f.name), f.dataType))
+            out[f.name] = ("datetime", read_times(col(f.name), f.dataType, formats.get(f.name, {})))
         elif role == R.NUMERIC and not S.is_numeric(f.dataType):
             out[f.name] = ("numeric", S.to_number(col(f.name), f.dataType))
     return out

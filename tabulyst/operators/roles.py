@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tabulyst.functions import names
 from tabulyst.functions import scalars as S
 from tabulyst.functions.scalars import col
+from tabulyst.operators.dates import learn_formats, read_times
 from tabulyst.operators.selection import distinct_up_to
 
 # The shares and counts that decide a text column's role.
@@ -51,12 +52,13 @@ def infer_roles(df: DataFrame) -> dict[str, str]:
 
 def _string_roles(df: DataFrame, columns: list[str]) -> dict[str, str]:
     text = T.StringType()
+    formats = learn_formats(df, [c for c in columns if names.mentions_time(c)])
     aggs = [F.count("*").alias("rows")]
     for i, c in enumerate(columns):
         aggs.append(F.count(col(c)).alias(f"n{i}"))
         aggs.append(F.count(S.to_number(col(c), text)).alias(f"num{i}"))
         if names.mentions_time(c):
-            aggs.append(F.count(S.to_time(col(c), text)).alias(f"time{i}"))
+            aggs.append(F.count(read_times(col(c), text, formats[c])).alias(f"time{i}"))
     seen = df.agg(*aggs).first().asDict()
     roles, unsettled = {}, []
     for i, c in enumerate(columns):

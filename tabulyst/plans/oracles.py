@@ -524,6 +524,10 @@ def oracle_queries() -> dict[str, str]:
         ]),
         "first_rows_in_order": "select o_custkey, o_orderkey, o_totalprice from orders order by o_custkey, o_orderkey limit 700",
         "load_facts": "select 'lineitem.parquet' as filename, count(*) as loaded_rows, 11 as loaded_cols from lineitem",
+        "learnt_dates": " union all ".join(
+            f"select '{c}' as name, 'datetime' as role, round(count(*) filter (o_orderkey % 20 <> 3)*1e0/count(*),6) as time_rate, "
+            "min(date_trunc('day', o_orderdate)) filter (o_orderkey % 20 <> 3) as first, max(date_trunc('day', o_orderdate)) filter (o_orderkey % 20 <> 3) as last "
+            "from orders" for c in ("date_points", "date_slashes", "date_us", "date_words", "date_short")),
         "dedup_rows": f"""{WITH_REPEATED} select trip_key, leg, payment_type, round(fare,6) as fare, round(trip_seconds,6) as trip_seconds
           from (select distinct * from rep)""",
         "dedup_count": f"""{WITH_REPEATED}, c as (select (select count(*) from rep) as n_rows,

@@ -149,6 +149,20 @@ def parse_rates(spark, folder):
     return df.agg(F.array(*records).alias("r")).select(F.inline("r"))
 
 
+@query
+def learnt_dates(spark, folder):
+    """Dates written in ways of their own: the role, the share that is read, first and last."""
+    day = "o_orderdate"
+    shapes = {"date_points": "dd.MM.yyyy", "date_slashes": "d/M/yyyy", "date_us": "MM/dd/yyyy HH:mm", "date_words": "d MMMM yyyy", "date_short": "dd-MM-yy"}
+    df = table(spark, folder, "orders").selectExpr(*(
+        f"case when o_orderkey % 20 = 3 then 'unknown' else date_format({day}, '{shape}') end as {name}" for name, shape in shapes.items()))
+    roles = R.infer_roles(df)
+    cast = cleaning.cast_to_roles(df, roles)
+    aggs = [F.struct(F.lit(c).alias("name"), F.lit(roles[c]).alias("role"), F.round(F.count(c) / F.count("*"), DECIMALS).alias("time_rate"),
+                     F.min(c).alias("first"), F.max(c).alias("last")) for c in shapes]
+    return cast.agg(F.array(*aggs).alias("r")).select(F.inline("r"))
+
+
 @query
 def task_types(spark, folder):
     df = trips(spark, folder)
