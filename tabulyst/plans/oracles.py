@@ -629,6 +629,7 @@ def oracle_queries() -> dict[str, str]:
         + " select term, printf('%.5e', coef) as coef, printf('%.5e', std_err) as std_err, printf('%.5e', t) as t from coefficients",
         "time_range_page": """select * from orders where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1996-01-01'
           order by o_orderdate desc, o_orderkey limit 500 offset 100""",
+        "deep_page": "select * from lineitem order by l_shipdate desc, l_orderkey, l_linenumber limit 300 offset 5500",
         "first_n_extract": "select * from orders order by o_orderkey limit 1000",
         "csv_roundtrip": f"""{WITH_TRIPS} select trip_key, cast(leg as bigint) as leg, payment_type, round(fare,6) as fare,
           round(trip_seconds,6) as trip_seconds, miles_text from trips""",

@@ -629,6 +629,12 @@ def time_range_page(spark, folder):
     return extract.newest_page(df, "o_orderdate", ["o_orderkey"], limit=500, offset=100, year=1995)
 
 
+@query
+def deep_page(spark, folder):
+    """A page far from the front, found by histograms of the order columns."""
+    return extract.newest_page(table(spark, folder, "lineitem"), "l_shipdate", ["l_orderkey", "l_linenumber"], limit=300, offset=5500)
+
+
 @query
 def first_n_extract(spark, folder):
     return extract.first_n(table(spark, folder, "orders"), 1000, ["o_orderkey"])

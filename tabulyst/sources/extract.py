@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulyst.functions.scalars import col
+from tabulyst.sources.pages import ordered_page
 from tabulyst.sources.positions import first_rows
 
+#: Rows up to which a page is cheaper to order than to look for: each task keeps so many.
+SHALLOW = 5_000
+
 
 def year_rows(df: DataFrame, time_column: str, year: int) -> DataFrame:
     """Rows of one year; a half-open range that the scan can use to skip files."""
@@ -23,10 +27,13 @@ def newest_page(
     df: DataFrame, time_column: str, tie_break: Sequence[str], limit: int, offset: int = 0,
     year: int | None = None,
 ) -> DataFrame:
-    """A page of the table, newest first, optionally of one year."""
+    """A page of the table, newest first, optionally of one year. A deep page costs no more
+    than one near the front."""
     rows = df if year is None else year_rows(df, time_column, year)
-    order = [col(time_column).desc(), *[col(c) for c in tie_break]]
-    return rows.orderBy(*order).offset(offset).limit(limit)
+    order = [(time_column, True), *[(c, False) for c in tie_break]]
+    if offset + limit <= SHALLOW:
+        return rows.orderBy(*[col(c).desc() if falling else col(c) for c, falling in order]).offset(offset).limit(limit)
+    return ordered_page(rows, order, limit, offset)
 
 
 def first_n(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:
