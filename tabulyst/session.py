@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -51,5 +52,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _watched:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: The paths staged within each open ``temporary_stages``.
+_watched: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def temporary_stages(spark: SparkSession):
+    """Removes at its end what was staged within: results must have been written or collected
+    by then. Without it, staged tables are left for the owner of the folder to expire."""
+    paths: list[str] = []
+    _watched.append(paths)
+    try:
+        yield
+    finally:
+        _watched.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
