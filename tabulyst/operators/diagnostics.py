@@ -24,7 +24,9 @@ from tabulyst.functions.tails import f_upper, t_two_sided
 from tabulyst.operators import profile as P
 from tabulyst.operators.cleaning import FILL_LABEL
 from tabulyst.operators.model import sample_rows
+from tabulyst.operators.qr import triangular_factor
 from tabulyst.operators.selection import distinct_up_to, exact_quantiles
+from tabulyst.operators.sparse_design import sparse_moments
 
 # Sizes and limits of the diagnostics.
 MAX_FEATURES = 30
@@ -32,6 +34,9 @@ MAX_LEVELS = 20
 COLLINEAR = 0.9999
 VIF_SHOWN = 10
 SINGULAR = 1e-11
+# Under this least eigenvalue of the correlations the design itself is factored; of its largest
+# singular value, what counts as none.
+ILL_CONDITIONED, DEPENDENT = 1e-6, 1e-13
 INTERCEPT = "const"
 
 COEFFICIENT_SCHEMA = "position int, term string, coef double, std_err double, t double, p_value double"
@@ -62,12 +67,22 @@ class Diagnostics:
         return spark.createDataFrame([row], schema)
 
 
+Categories = dict[str, tuple[Column, list[str]]]
+
+
 def design_columns(df: DataFrame, target: str) -> dict[str, Column]:
-    """Numeric columns with gaps at the median, and a dummy per category level.
+    """Numeric columns with gaps at the median, and a dummy per category level."""
+    return dense(*design_parts(df, target))
 
-    Codes and coordinates are left out; of each category's sorted levels the
-    first has no dummy.
-    """
+
+def dense(numbers: dict[str, Column], categories: Categories) -> dict[str, Column]:
+    """The terms of a design; of each category's sorted levels the first has no dummy."""
+    return numbers | {f"{c}_{v}": F.when(x == v, 1.0).otherwise(0.0) for c, (x, levels) in categories.items() for v in levels[1:]}
+
+
+def design_parts(df: DataFrame, target: str) -> tuple[dict[str, Column], Categories]:
+    """Numeric columns with gaps at the median, and the categories with their sorted levels.
+    Codes and coordinates are left out."""
     features = [f for f in df.schema if f.name != target and not names.is_code_like(f.name)]
     numeric = [
         f.name for f in features
@@ -77,24 +92,21 @@ def design_columns(df: DataFrame, target: str) -> dict[str, Column]:
         f for f in features if S.is_text(f.dataType) or isinstance(f.dataType, T.BooleanType)
     ]
     fills = exact_quantiles(df, {c: col(c).cast("double") for c in numeric}, [0.5])
-    design = {}
+    numbers: dict[str, Column] = {}
     for c in numeric:
         x = col(c).cast("double")
         middle = fills.get(c, 0.5)
-        design[c] = x if middle is None else F.coalesce(x, F.lit(middle))
+        numbers[c] = x if middle is None else F.coalesce(x, F.lit(middle))
     counts = distinct_up_to(df, [f.name for f in texts], MAX_LEVELS)
     kept = [f for f in texts if counts[f.name] is not None and counts[f.name] >= 2]
     shown = {f.name: _shown(f) for f in kept}
+    levels: dict[str, list[str]] = {c: [] for c in shown}
     if kept:
         # at most MAX_LEVELS + 1 levels per column
         plain = df.select(*[x.alias(c) for c, x in shown.items()])
-        levels: dict[str, list[str]] = {c: [] for c in shown}
         for r in P.top_values(plain, list(shown), MAX_LEVELS + 1).collect():
             levels[r["name"]].append(r["value"])
-        for c, x in shown.items():
-            for level in sorted(levels[c])[1:]:
-                design[f"{c}_{level}"] = F.when(x == level, 1.0).otherwise(0.0)
-    return design
+    return numbers, {c: (x, sorted(levels[c])) for c, x in shown.items()}
 
 
 def _shown(f: T.StructField) -> Column:
@@ -137,6 +149,15 @@ def design_moments(df: DataFrame, design: dict[str, Column], target: str) -> Mom
     )
 
 
+def parted_moments(df: DataFrame, numbers: dict[str, Column], categories: Categories, target: str) -> Moments:
+    """The same from level counts, for designs with categories."""
+    y = S.to_number(col(target), df.schema[target].dataType)
+    n, mean, std, corr = sparse_moments(df.where(y.isNotNull()), [*numbers.values(), y], list(categories.values()))
+    if n < 2:
+        raise ValueError("too few rows with a target value")
+    return Moments(list(dense(numbers, categories)), n, mean, std, corr)
+
+
 def select_features(m: Moments, most: int = MAX_FEATURES, collinear: float = COLLINEAR) -> Moments:
     """Drop constants and near copies of an earlier column, keep those closest to y."""
     m = m.keep([i for i in range(len(m.terms)) if m.std[i] > 0])
@@ -158,25 +179,52 @@ def diagnose(df: DataFrame, target: str, max_rows: int | None = None) -> Diagnos
     if max_rows is not None:
         df = sample_rows(df, max_rows)
     df = df.where(S.to_number(col(target), df.schema[target].dataType).isNotNull())
-    design = design_columns(df, target)
+    numbers, categories = design_parts(df, target)
+    design = dense(numbers, categories)
     if not design:
         return Diagnostics(error="No usable features after filtering.")
-    m = select_features(design_moments(df, design, target))
-    coefficients, fit = least_squares(m)
+    m = select_features(parted_moments(df, numbers, categories, target) if categories else design_moments(df, design, target))
+    coefficients, fit = least_squares(m, factor(df, design, target, m) if ill_conditioned(m) else None)
     return Diagnostics(coefficients, fit, inflation(m))
 
 
-def least_squares(m: Moments) -> tuple[list[tuple], dict]:
+def ill_conditioned(m: Moments) -> bool:
+    """Whether the correlations lose more digits than the columns themselves need to."""
+    p = len(m.terms)
+    return p > 1 and bool(np.linalg.eigvalsh(m.corr[:p, :p])[0] < ILL_CONDITIONED)
+
+
+def factor(df: DataFrame, design: dict[str, Column], target: str, m: Moments) -> np.ndarray:
+    """The triangular factor of 1, the kept columns and the target, in standard units."""
+    y = S.to_number(col(target), df.schema[target].dataType)
+    units = m.std * math.sqrt(max(m.n - 1, 1))
+    columns = [*[design[t] for t in m.terms], y]
+    return triangular_factor(df.where(y.isNotNull()), [(x - F.lit(float(c))) / F.lit(float(u) or 1.0) for x, c, u in zip(columns, m.mean, units, strict=True)])
+
+
+def least_squares(m: Moments, r: np.ndarray | None = None) -> tuple[list[tuple], dict]:
+    """Coefficients and fit from the moments, or from a triangular factor ``r``, which keeps the
+    digits of nearly dependent columns. Exactly dependent ones get the shortest solution."""
     p, n = len(m.terms), m.n
-    corr, to_y = m.corr[:p, :p], np.nan_to_num(m.corr[:p, p])
-    inverse = _inverse(corr)
-    rank = int(np.linalg.matrix_rank(corr, tol=SINGULAR * max(p, 1), hermitian=True)) if p else 0
-    scaled = inverse @ to_y
-    spread_y = m.std[p]
-    slopes = scaled * spread_y / m.std[:p]
-    intercept = m.mean[p] - slopes @ m.mean[:p]
+    spread_y, shift = m.std[p], 0.0
     total = (n - 1) * spread_y**2
-    r2 = float(np.clip(scaled @ to_y, 0.0, 1.0))
+    if r is None:
+        corr, to_y = m.corr[:p, :p], np.nan_to_num(m.corr[:p, p])
+        inverse = _inverse(corr)
+        rank = int(np.linalg.matrix_rank(corr, tol=SINGULAR * max(p, 1), hermitian=True)) if p else 0
+        scaled = inverse @ to_y
+        r2 = float(np.clip(scaled @ to_y, 0.0, 1.0))
+    else:
+        inner, to_y = r[1 : p + 1, 1 : p + 1], r[1 : p + 1, p + 1]
+        back = np.linalg.pinv(inner, rcond=DEPENDENT)
+        rank = int(np.linalg.matrix_rank(inner, tol=DEPENDENT * np.linalg.norm(inner, 2)))
+        scaled, inverse = back @ to_y, back @ back.T
+        missed, whole = inner @ scaled - to_y, to_y @ to_y + r[p + 1, p + 1] ** 2
+        r2 = float(np.clip(1.0 - (missed @ missed + r[p + 1, p + 1] ** 2) / whole, 0.0, 1.0)) if whole else 0.0
+        # what the means, taken in another pass, were off by
+        shift = (r[0, p + 1] - r[0, 1 : p + 1] @ scaled) / r[0, 0] * spread_y * math.sqrt(max(n - 1, 1)) if r[0, 0] else 0.0
+    slopes = scaled * spread_y / m.std[:p]
+    intercept = m.mean[p] - slopes @ m.mean[:p] + shift
     rest = total * (1.0 - r2)
     free = n - rank - 1
     noise = rest / free if free > 0 else math.nan

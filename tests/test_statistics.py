@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -81,6 +82,61 @@ def test_wide_columns_with_gaps(spark):
     assert len(none) == 190 and {(r["n"], r["r"]) for r in none} == {(0, None)}
 
 
+def exact_least_squares(rows, target):
+    """Coefficients (constant first) in fractions, by elimination on the normal equations."""
+    rows = [[Fraction(1), *map(Fraction, r)] for r in rows]
+    p = len(rows[0])
+    system = [[sum(r[i] * r[j] for r in rows) for j in range(p)] + [sum(r[i] * Fraction(y) for r, y in zip(rows, target, strict=True))] for i in range(p)]
+    for i in range(p):
+        pivot = next(k for k in range(i, p) if system[k][i])
+        system[i], system[pivot] = system[pivot], system[i]
+        for k in range(p):
+            if k != i and system[k][i]:
+                factor = system[k][i] / system[i][i]
+                system[k] = [a - factor * b for a, b in zip(system[k], system[i], strict=True)]
+    return [system[i][p] / system[i][i] for i in range(p)]
+
+
+def test_nearly_dependent_columns_keep_their_digits(spark):
+    rng = np.random.default_rng(9)
+    a, b, tiny = rng.integers(-1000, 1000, 300) / 8, rng.integers(-1000, 1000, 300) / 8, rng.integers(-64, 64, 300) / 2.0**29
+    x = np.stack([a, b, a + b + tiny], axis=1)
+    y = 3 * a - 2 * b + rng.integers(-8, 8, 300) * 2.0**-29 + 1e6 * tiny + 5
+    scaled = (x - x.mean(0)) / x.std(0)
+    assert 1e8 < np.linalg.cond(scaled) < 1e10
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y, strict=True)], "a double, b double, c double, y double").repartition(7)
+    got = {r["term"]: r["coef"] for r in diagnostics.diagnose(df, "y").coefficient_frame(spark).collect()}
+    want = exact_least_squares(x.tolist(), y.tolist())
+    for term, value in zip(("const", "a", "b", "c"), want, strict=True):
+        assert got[term] == pytest.approx(float(value), rel=1e-6)
+
+
+def test_many_levels_by_counts(spark):
+    rng = random.Random(11)
+    rows = [(rng.gauss(1e6, 3), rng.choice([None, rng.random()]), *(f"v{int(20 * rng.random() ** (1 + k / 9))}" if rng.random() < 0.95 else None for k in range(12)), rng.gauss(0, 1)) for _ in range(1500)]
+    schema = "x double, z double, " + ", ".join(f"s{k} string" for k in range(12)) + ", y double"
+    df = spark.createDataFrame(rows, schema).repartition(6)
+    numbers, categories = diagnostics.design_parts(df, "y")
+    got = diagnostics.parted_moments(df, numbers, categories, "y")
+    design = diagnostics.dense(numbers, categories)
+    data = np.array(df.select(*design.values(), "y").collect(), float)
+    assert got.terms == list(design) and got.n == 1500 and len(got.terms) > 150
+    assert np.allclose(got.mean, data.mean(0), rtol=1e-12) and np.allclose(got.std, data.std(0, ddof=1), rtol=1e-9)
+    assert np.allclose(got.corr, np.corrcoef(data.T), atol=1e-9)
+
+
+def test_factor_and_moments_agree(spark):
+    rng = np.random.default_rng(10)
+    data = rng.normal(50, 2, (500, 4))
+    df = spark.createDataFrame(data.tolist(), "a double, b double, c double, y double").repartition(9)
+    design = diagnostics.design_columns(df, "y")
+    m = diagnostics.design_moments(df, design, "y")
+    plain, factored = diagnostics.least_squares(m), diagnostics.least_squares(m, diagnostics.factor(df, design, "y", m))
+    for one, other in zip(plain[0], factored[0], strict=True):
+        assert one[2:] == pytest.approx(other[2:], rel=1e-8)
+    assert plain[1] == pytest.approx(factored[1], rel=1e-8)
+
+
 def test_yates(spark):
     lines = tables.table(spark, "/root/testdata/sf0.01", "lineitem").where("l_returnflag <> 'A'")
     got = st.chi2(lines, "l_returnflag", "l_linestatus").first()
