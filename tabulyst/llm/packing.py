@@ -32,7 +32,7 @@ PER_PART = 4096
 #: Free places over which a sequence gives its pieces to the pool: first those with much room, then all.
 FLOORS = (8, 0)
 #: Words whose ids a Python worker remembers.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -80,9 +80,12 @@ class WordEncoder:
         if not self.apart or not is_latin(part) or any(t in part for t in self.special):
             return _packed(self._whole(part))
         words, memo = self.split(part.lower()), self.words
+        if words == [part]:  # a plain word: the parts' memo holds it
+            return memo.get(part) or self._word(part)
         out = []
         for word in words:
-            if (ids := memo.get(word)) is None:
+            ids = self.memo.get(word) or memo.get(word)
+            if ids is None:
                 if len(memo) >= memo.most:
                     memo.clear()
                 ids = memo[word] = self._word(word)
