@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulyst.session import stage
 from tabulyst.sources.readers import read_parquet
 
 
@@ -48,6 +49,13 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def staged_trips(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The trips, or some of their columns, joined and written once: for operators that read
+    their table several times, which would shuffle the line items and orders each time."""
+    df = trips(spark, folder)
+    return stage(df.select(*columns) if columns else df, "trips")
+
+
 # How many columns each metric of the wide trips gives.
 WIDE_VARIANTS = 14
 
@@ -75,10 +83,11 @@ def wide_design(spark: SparkSession, folder: str) -> DataFrame:
                                                        f"{columns[2].rsplit(' as ', 1)[0]} as copy", f"3D * ({columns[4].rsplit(' as ', 1)[0]}) as multiple")
 
 
-def repeated_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips with their first legs a second time."""
+def repeated_trips(spark: SparkSession, folder: str, staged: bool = False) -> DataFrame:
+    """Trips with their first legs a second time; with ``staged`` the trips are written once."""
     copies = F.expr("explode(array_repeat(0, case when leg = 1 then 2 else 1 end))")
-    return trips(spark, folder).select("*", copies.alias("copy")).drop("copy")
+    df = staged_trips(spark, folder) if staged else trips(spark, folder)
+    return df.select("*", copies.alias("copy")).drop("copy")
 
 
 def replies(spark: SparkSession, folder: str) -> DataFrame:
