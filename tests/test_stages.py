@@ -8,7 +8,8 @@ from tabulyst.operators import copies
 from tabulyst.plans import queries, tables
 
 COUNTED = ["ols_trips", "ols_simple", "regression_checked", "training_fills", "category_bars", "lowest_cardinality",
-           "fill_median", "payment_money_summary", "payment_trip_summary", "column_profile", "numeric_summary", "top_values"]
+           "fill_median", "payment_money_summary", "payment_trip_summary", "column_profile", "numeric_summary", "top_values",
+           "analysis_digest"]
 REPEATED = ["dedup_rows", "dedup_count", "findings", "clean_table", "cleaning_log"]
 
 
