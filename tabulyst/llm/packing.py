@@ -14,7 +14,9 @@ import bisect
 import math
 import re
 import zlib
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,14 @@ PER_PART = 4096
 FLOORS = (8, 0)
 #: Words whose ids a Python worker remembers.
 MEMO_WORDS = 300_000
+#: Characters whose words are told apart at once.
+BLOCK = 2_000_000
+#: Words that are merged in one call.
+TOGETHER = 1000
+#: Kinds of characters in Latin-1.
+BLANK, LETTER, DIGIT, OTHER = range(4)
+#: What follows an apostrophe to make a word with it.
+SINGLE, DOUBLE = [ord(c) for c in "stmd"], [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,64 +51,131 @@ def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
+def _blocks(text: str, most: int = BLOCK) -> Iterator[str]:
+    """``text`` cut after spaces into blocks of up to ``most`` characters, or of one part."""
+    at = 0
+    while len(text) - at > most:
+        end = text.rfind(" ", at, at + most) + 1 or text.find(" ", at + most) + 1 or len(text)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 class WordEncoder:
     """Ids of texts by a vocabulary that drops white space before it merges, as a lower-cased
     word vocabulary with byte letters does. No token then crosses a space or a line end, so
-    the parts between them are encoded on their own, each distinct part once. Parts in Latin-1
-    are normalised and split here and only merged by the library; all others, and special
-    strings, pass through it whole."""
+    the parts between them are encoded on their own. Parts in Latin-1 are a byte a character: they
+    are lowered and cut into words by tables, and only a block's distinct words are merged by the
+    library, each one once. All other parts, and those with special strings, pass through it whole."""
 
     def __init__(self, vocabulary: bytes):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.memo, self.words = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        #: by word (bytes) or whole part (text)
+        self.memo = Memo(MEMO_WORDS)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+").findall
+        latin = [chr(b) for b in range(256)]
+        self.lower = "".join(latin).lower().encode("latin-1")
+        kinds = {BLANK: BLANKS, LETTER: LETTERS, DIGIT: DIGITS}
+        self.kind = np.array([next((k for k, some in kinds.items() if re.fullmatch(f"[{some}]", c)), OTHER) for c in latin], np.uint8)
         # byte letters: bytes that print stand for themselves, the others follow 255 in order
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letter = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
-        #: whether the parts below give what the library gives, on a text that tries them
-        trial = "It's a naïve Café, ÀÉÎ 12½ __x__ 'S'll don't\x01 a'b'dd \xad£9²"
+        #: whether the words below give what the library gives, on a text that tries them
+        trial = "It's a naïve Café, ÀÉÎ 12½ __x__ 'S'll don't\x01 a'b'dd ''s'retry \xad£9²"
         self.merge = self.tokenizer.model.tokenize
+        #: the merges alone, of words between spaces, and whether a token ends a word
+        self.joined = Tokenizer(self.tokenizer.model)
+        self.joined.pre_tokenizer = CharDelimiterSplit(" ")
+        names, end = self.joined.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.last[[i for name, i in names.items() if end and name.endswith(end)]] = True
         self.apart = True
-        self.apart = self._part(trial) == _packed(self._whole(trial))
+        self.apart = self([trial])[0] == _packed(self._whole(trial))
 
     def _whole(self, part: str) -> list[int]:
         return self.tokenizer.encode(part, add_special_tokens=False).ids
 
-    def _word(self, word: str) -> bytes:
-        if not word.isascii() or not word.isprintable():
-            word = "".join([self.letter[b] for b in word.encode()])
-        return _packed([t.id for t in self.merge(word)])
-
-    def _part(self, part: str) -> bytes:
-        if not self.apart or not is_latin(part) or any(t in part for t in self.special):
-            return _packed(self._whole(part))
-        words, memo = self.split(part.lower()), self.words
-        if words == [part]:  # a plain word: the parts' memo holds it
-            return memo.get(part) or self._word(part)
-        out = []
-        for word in words:
-            ids = self.memo.get(word) or memo.get(word)
-            if ids is None:
-                if len(memo) >= memo.most:
-                    memo.clear()
-                ids = memo[word] = self._word(word)
-            out.append(ids)
-        return b"".join(out)
+    def _letters(self, word: bytes) -> str:
+        letters = word.decode("latin-1")
+        if not letters.isascii() or not letters.isprintable():
+            letters = "".join([self.letter[b] for b in letters.encode()])
+        return letters
+
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word. Many are merged in one call, where the tokens that end a word tell
+        them apart; if they don't, one at a time."""
+        letters = [self._letters(w) for w in words]
+        ids = np.array(self.joined.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != len(words) or stops[-1:].tolist() != [len(ids)]:
+            return [_packed([t.id for t in self.merge(w)]) for w in letters]
+        blob, stops = ids.tobytes(), (4 * stops).tolist()
+        return [blob[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def _plain(self, part: str) -> bool:
+        return self.apart and is_latin(part) and not any(t in part for t in self.special)
+
+    def _words(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words and blanks of texts in Latin-1, in order, and where each text's begin."""
+        texts = [t.encode("latin-1") + b"\n" for t in texts]
+        starts = np.cumsum([0, *map(len, texts)])
+        data = b"".join(texts).translate(self.lower)
+        points = np.frombuffer(data, np.uint8)
+        kind = self.kind[points]
+        first = np.ones(len(kind) + 1, bool)  # whether a word begins here
+        first[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        first[starts] = True
+        # 's, 't, 're, 've, 'm, 'll and 'd are words, where a word begins; a text ends with a blank
+        at = np.flatnonzero((points == ord("'")) & first[:-1])
+        one, two = points[at + 1], points[np.minimum(at + 2, len(points) - 1)]
+        single, double = np.isin(one, SINGLE), reduce(np.logical_or, [(one == a) & (two == b) for a, b in DOUBLE])
+        first[at[single | double] + 1] = False
+        first[at[single] + 2] = True
+        first[at[double] + 3] = True
+        ends = np.flatnonzero(first)
+        buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]
+        words = pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
+        return words.dictionary_encode(), np.searchsorted(ends, starts)
+
+    def _latin(self, texts: list[str]) -> list[bytes]:
+        words, starts = self._words(texts)
+        distinct, memo = words.dictionary.to_pylist(), self.memo
+        new = memo.missing(set(distinct))
+        for a in range(0, len(new), TOGETHER):
+            some = [w for w in new[a : a + TOGETHER] if self.kind[w[0]] != BLANK]
+            memo.update(zip(some, self._merged(some), strict=True))
+        # blanks have no ids
+        coded = pa.array([memo.get(w, b"") for w in distinct], pa.large_binary()).take(words.indices)
+        _, ends, ids = coded.buffers()
+        stops = np.frombuffer(ends, np.int64)[starts].tolist()
+        ids = memoryview(ids)
+        return [ids[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        memo, part = self.memo, self._part
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        for p in memo.missing(set().union(*parts)):
-            memo[p] = part(p)
-        return [b"".join(map(memo.__getitem__, some)) for some in parts]
+        plain, places = [], []  # blocks in Latin-1; for each text the places of its blocks, and its other parts
+        for t in texts:
+            mine = []
+            for is_plain, parts in [(True, [t])] if self._plain(t) else groupby(t.replace("\n", " ").split(" "), self._plain):
+                if is_plain:
+                    some = list(_blocks(" ".join(parts)))
+                    mine += range(len(plain), len(plain) + len(some))
+                    plain += some
+                else:
+                    mine += parts
+            places.append(mine)
+        coded = [ids for a, b in spans_of(plain, BLOCK) for ids in self._latin(plain[a:b])]
+        memo = self.memo
+        for p in memo.missing({x for mine in places for x in mine if isinstance(x, str)}):
+            memo[p] = _packed(self._whole(p))
+        return [b"".join([memo[x] if isinstance(x, str) else coded[x] for x in mine]) for mine in places]
 
 
 def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -115,7 +192,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> D
         encoder = loaded(("packing", key), lambda: WordEncoder(vocabulary))
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
-            for a, b in spans_of(texts, 1_000_000):
+            for a, b in spans_of(texts, BLOCK):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, blob in enumerate(encoder(texts[a:b]), a):
                     blob += end
