@@ -13,6 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a batch that a Python task gets.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -29,8 +33,12 @@ def _shipped(application: str) -> None:
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once for a session: tasks import it, wherever
-    the driver was started."""
+    the driver was started. Python tasks of the session get batches of BATCH_ROWS at most: rows are
+    whole documents, and both sides of a task hold a batch several times over."""
     _shipped(spark.sparkContext.applicationId)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def tokenizer_file(name: str) -> str:

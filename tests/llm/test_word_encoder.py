@@ -1,13 +1,14 @@
-"""The word encoder of the packing operator."""
+"""The word encoder of the packing operator, and the batches that Python tasks get."""
 
 import random
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabulyst.llm import packing
-from tabulyst.llm.common import tokenizer_file
+from tabulyst.llm.common import BATCH_ROWS, ship, tokenizer_file
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +64,14 @@ def test_words_that_no_token_ends_are_merged_one_at_a_time(vocabulary):
     want = encoder._merged(words)
     encoder.last[:] = False
     assert encoder._merged(words) == want and all(want)
+
+
+def test_python_tasks_get_small_batches(spark):
+    ship(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    got = [r["n"] for r in spark.range(0, 3 * BATCH_ROWS, 1, 1).mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 3 * BATCH_ROWS and max(got) <= BATCH_ROWS
