@@ -15,7 +15,7 @@ from tabulyst.functions.scalars import col
 from tabulyst.operators import roles as R
 from tabulyst.operators.charts import pair_correlations
 from tabulyst.operators.selection import distinct_up_to
-from tabulyst.operators.summaries import sizeable_groups
+from tabulyst.operators.summaries import group_moments
 
 # Sizes that admit a column or group to a test, preferred columns.
 ANOVA_LEVELS = 50
@@ -71,13 +71,18 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _result(tested, "pearsonr", F.col("x"), F.col("y"))
 
 
-def groups_for_test(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Moments of the first groups in key order, numbered.
+def groups_for_test(
+    df: DataFrame, category: str, value: str, most: int | None = ANOVA_GROUPS
+) -> DataFrame:
+    """Moments of the groups in key order, numbered: all groups, or the first ``most``.
 
     One group more than a test uses is enough to tell two groups from several,
-    so the windows see a few rows whatever the category holds.
+    so with ``most`` the windows see a few rows whatever the category holds.
+    Without it they see a row per group, and the caller bounds the groups.
     """
-    groups = sizeable_groups(df, category, value, LEAST_GROUP).limit(ANOVA_GROUPS + 1)
+    groups = group_moments(df, category, value, LEAST_GROUP)
+    if most is not None:
+        groups = groups.orderBy("key").limit(most + 1)
     every = W.partitionBy(F.lit(1))
     return (
         groups.withColumn("place", F.row_number().over(every.orderBy("key")))
@@ -105,9 +110,11 @@ def welch(groups: DataFrame) -> DataFrame:
     return tested.withColumn("p_value", tails.t_tail(F.col("statistic"), F.col("free")))
 
 
-def anova(groups: DataFrame, most: int = ANOVA_GROUPS) -> DataFrame:
-    """F and p over the first groups in key order, for three groups or more."""
-    used = groups.where((F.col("groups") >= 3) & (F.col("place") <= most) & (F.col("n") > 0))
+def anova(groups: DataFrame, most: int | None = ANOVA_GROUPS) -> DataFrame:
+    """F and p over all groups, or the first ``most`` in key order, for three groups or more."""
+    used = groups.where((F.col("groups") >= 3) & (F.col("n") > 0))
+    if most is not None:
+        used = used.where(F.col("place") <= most)
     every = W.partitionBy(F.lit(1))
     total = F.sum("n").over(every)
     grand = F.sum(F.col("n") * F.col("mean")).over(every) / total
@@ -129,11 +136,16 @@ def anova(groups: DataFrame, most: int = ANOVA_GROUPS) -> DataFrame:
     )
 
 
-def group_difference(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Welch's test for two groups, ANOVA for more; no row for fewer."""
-    groups = groups_for_test(df, category, value)
+def group_difference(
+    df: DataFrame, category: str, value: str, most: int | None = ANOVA_GROUPS
+) -> DataFrame:
+    """Welch's test for two groups, ANOVA for more; no row for fewer.
+
+    ANOVA takes the first ``most`` groups, or with None every group.
+    """
+    groups = groups_for_test(df, category, value, most)
     two = welch(groups).select(F.lit("t_test").alias("test"), "statistic", "p_value")
-    many = anova(groups).select(F.lit("anova").alias("test"), "statistic", "p_value")
+    many = anova(groups, most).select(F.lit("anova").alias("test"), "statistic", "p_value")
     return _result(two.unionByName(many), F.col("test"), F.lit(category), F.lit(value))
 
 
@@ -196,8 +208,14 @@ def numeric_candidates(df: DataFrame, columns: Sequence[str]) -> list[str]:
     ]
 
 
-def run_tests(df: DataFrame, roles: dict[str, str]) -> DataFrame:
-    """All tests the columns allow, one row each."""
+def run_tests(
+    df: DataFrame, roles: dict[str, str], most_groups: int | None = ANOVA_GROUPS
+) -> DataFrame:
+    """All tests the columns allow, one row each.
+
+    With None for ``most_groups`` ANOVA takes every group; a grouping column has
+    ``ANOVA_LEVELS`` of them at most.
+    """
     numbers = R.with_role(roles, R.NUMERIC, df)
     categories = [c for c in R.with_role(roles, R.CATEGORICAL, df) if not names.is_code_like(c)]
     found = []
@@ -212,7 +230,7 @@ def run_tests(df: DataFrame, roles: dict[str, str]) -> DataFrame:
         group = names.preferred_column(grouping, GROUP_NAMES) or grouping[0]
         value = names.preferred_column(values, VALUE_NAMES) or next(iter(values), None)
         if value:
-            found.append(group_difference(df, group, value))
+            found.append(group_difference(df, group, value, most_groups))
     if len(levels) >= 2:
         tabled = [c for c in categories if c in levels]
         x = names.preferred_column(tabled, GROUP_NAMES)

@@ -184,13 +184,17 @@ def summaries(
     return {n: d for n, d in built.items() if d is not None}
 
 
-def sizeable_groups(df: DataFrame, key: str, value: str, least: int = 5) -> DataFrame:
-    """Groups with enough rows, in key order, with the moments of a value."""
+def group_moments(df: DataFrame, key: str, value: str, least: int = 5) -> DataFrame:
+    """Groups with enough rows, in no order, with the moments of a value."""
     x = _number(df, value)
     return (
         df.where(col(key).isNotNull()).groupBy(col(key).alias("key"))
         .agg(F.count("*").alias("size"), F.count(x).alias("n"), F.avg(x).alias("mean"),
              F.var_samp(x).alias("variance"))
         .where(F.col("size") >= least)
-        .orderBy("key")
     )
+
+
+def sizeable_groups(df: DataFrame, key: str, value: str, least: int = 5) -> DataFrame:
+    """The same groups in key order."""
+    return group_moments(df, key, value, least).orderBy("key")

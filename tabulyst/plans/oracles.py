@@ -82,13 +82,13 @@ def _shown_tests(digits: int = 6) -> str:
             f"round(p_value,{digits}) as p_value, p_value_fmt from results")
 
 
-def _anova(table: str, key: str, value: str, where: str = "true") -> str:
-    """One row of an ANOVA over the first five groups, or Welch's t for two."""
+def _anova(table: str, key: str, value: str, where: str = "true", used: str = "rn <= 5") -> str:
+    """One row of an ANOVA over the first five groups or those ``used``, or Welch's t for two."""
     return f"""(
     with g as (select {key} as k, count(*) as size, count({value}) as n, avg({value}) as m, var_samp({value}) as v
                from {table} where {key} is not null and {where} group by 1 having count(*) >= 5),
     o as (select *, row_number() over (order by k) as rn, count(*) over () as gs from g),
-    u as (select * from o where rn <= 5),
+    u as (select * from o where {used}),
     c as (select sum(n*m)/sum(n) as grand, count(*) as k, sum(n) as n from u)
     select case when max(gs) = 2 then 't_test' else 'anova' end as test, '{key}' as x, '{value}' as y,
       case when max(gs) = 2 then
@@ -588,7 +588,7 @@ def oracle_queries() -> dict[str, str]:
           {_chi2('lineitem', 'l_linestatus', 'l_returnflag')}), {P_VALUES} {_shown_tests()}""",
         "trip_tests": f"""{CLEANED.replace('uniq as (select distinct * from rep)', 'uniq as (select * from trips)')},
           tests as (select * from {_pearson('clean', (), ('trip_miles', 'trip_seconds'))} union all
-            select * from {_anova('clean', 'payment_type', 'trip_seconds')} union all
+            select * from {_anova('clean', 'payment_type', 'trip_seconds', used='true')} union all
             select * from {_chi2('clean', 'payment_type', 'company')} where (select count(distinct company) from clean) <= 80),
           {P_VALUES} {_shown_tests()}""",
         "findings": _findings(),

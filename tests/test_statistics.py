@@ -2,10 +2,13 @@ import math
 import random
 from fractions import Fraction
 
+import compare
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tabulyst.functions import scalars as S
 from tabulyst.functions import tails
 from tabulyst.operators import charts, diagnostics, model
@@ -181,6 +184,47 @@ def test_anova_uses_the_first_five_groups(spark):
     assert got["test"] == "anova" and got["statistic"] == pytest.approx(between / within)
 
 
+def _f_of_groups(groups):
+    every = np.concatenate(groups)
+    between = sum(len(g) * (g.mean() - every.mean()) ** 2 for g in groups) / (len(groups) - 1)
+    return between / (sum(((g - g.mean()) ** 2).sum() for g in groups) / (len(every) - len(groups)))
+
+
+def test_anova_over_every_group(spark):
+    rows, df = _groups(spark, {k: 20 + i for i, k in enumerate("hgfedcba")} | {"tiny": 4})
+    got = st.group_difference(df, "g", "v", most=None).collect()
+    f = _f_of_groups([np.array([v for k, v in rows if k == g]) for g in "abcdefgh"])
+    assert [r["test"] for r in got] == ["anova"] and got[0]["statistic"] == pytest.approx(f)
+
+
+def test_all_groups_of_two_use_welch(spark):
+    _, df = _groups(spark, {"a": 30, "b": 40, "tiny": 4})
+    assert st.group_difference(df, "g", "v", most=None).collect() == st.group_difference(df, "g", "v").collect()
+
+
+def test_trip_tests_use_every_payment_type(spark, tmp_path):
+    lines = spark.range(600).selectExpr(
+        "id div 3 as l_orderkey", "cast(id % 3 as int) as l_linenumber", "id % 7 as l_suppkey",
+        "timestamp_ntz'2024-01-01 00:00:00' as l_shipdate", "cast(pmod(hash(id), 5000) as double) as l_extendedprice",
+        "0.05D as l_discount", "0.02D as l_tax", "cast(pmod(hash(id, 1), 40) + (id div 3) % 8 as double) as l_quantity")
+    orders = spark.range(200).selectExpr("id as o_orderkey", "concat('kind ', id % 8) as o_orderpriority")
+    suppliers = spark.range(7).selectExpr("id as s_suppkey", "concat('company ', id) as s_name")
+    con = duckdb.connect()
+    for name, df in (("lineitem", lines), ("orders", orders), ("supplier", suppliers)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    rows = tables.trips(spark, str(tmp_path)).select("payment_type", "trip_seconds").collect()
+    filled = np.median([r["trip_seconds"] for r in rows if r["trip_seconds"] is not None])
+    groups = {}
+    for kind, seconds in rows:
+        groups.setdefault(kind or "Missing", []).append(filled if seconds is None else seconds)
+    f = _f_of_groups([np.array(g) for g in groups.values()])
+    cols, got = compare.rows_of_spark(contract.queries()["trip_tests"](spark, str(tmp_path)))
+    tests = {r[cols.index("test")]: float(r[cols.index("statistic")]) for r in got}
+    assert len(groups) == 9 and set(tests) == {"pearsonr", "anova", "chi2"} and tests["anova"] == pytest.approx(f, abs=1e-6)
+    assert (cols, got) == compare.rows_of_duck(con, contract.oracle_sql()["trip_tests"])
+
+
 def test_one_group_gives_no_test(spark):
     _, df = _groups(spark, {"a": 30, "tiny": 4})
     assert st.group_difference(df, "g", "v").count() == 0
