@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,7 +234,10 @@ def _fit(df: DataFrame, target: str, cfg: AnalysisConfig, keys: Sequence[str]) -
         stages.append(LogisticRegression(maxIter=LOGISTIC_ITERATIONS, regParam=1.0 / max(n_train, 1),
                                          standardization=False))
         name = "LogisticRegression"
-    predicted = Pipeline(stages=stages).fit(train).transform(test)
+    fitted = Pipeline(stages=stages).fit(train)
+    if not regression:
+        _drop_summary(df.sparkSession, fitted.stages[-1])
+    predicted = fitted.transform(test)
     record = {
         "enabled": True, "target": target, "task_type": task, "model_name": name,
         "n_train": n_train, "n_test": n_test, "dropped_datetime_cols": m.dropped_datetime,
@@ -248,6 +251,12 @@ def _fit(df: DataFrame, target: str, cfg: AnalysisConfig, keys: Sequence[str]) -
     return Fitted(record, predicted)
 
 
+def _drop_summary(spark: SparkSession, model: LogisticRegressionModel) -> None:
+    """Takes the training summary off a classifier, as tasks get the model with all it holds: the
+    summary holds the session, which can't be sent once a table was observed in it."""
+    model._java_obj.setSummary(spark._jvm.scala.Option.apply(None))
+
+
 def regression_scores(df: DataFrame) -> DataFrame:
     """(r2, mae) of columns y and prediction."""
     off = F.col("y") - F.col("prediction")

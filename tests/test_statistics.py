@@ -6,6 +6,7 @@ import compare
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -281,6 +282,14 @@ def test_absent_target_is_recorded(spark):
     assert got["enabled"] is False and "b" in got["error"]
 
 
+def test_classification_after_a_table_was_observed(spark):
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count("*").alias("n")).count() == 3 and seen.get == {"n": 3}
+    df = spark.range(100).selectExpr("if(id % 2 = 0, 'even', 'odd') as y", "id % 2 * 3.0D + id / 200 as x")
+    got = model.fit_baseline(df, "y").record
+    assert got.get("error") is None and got["accuracy"] == 1.0
+
+
 def test_modeling_classification(spark):
     df = spark.range(400).select(
         F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("y"),
